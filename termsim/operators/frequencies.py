@@ -52,15 +52,34 @@ def document_vectors(
         "doc_id", "orig_len", keep_matching(count_runs("_sorted", "_starts"), pattern).alias("terms")
     )
     with_len = counted.select("doc_id", "orig_len", total_count(F.col("terms")).alias("kept_len"), "terms")
-    return with_len.select(
-        "doc_id",
-        "orig_len",
-        "kept_len",
-        F.col("kept_len" if length == "filtered" else "orig_len").alias("len"),
-        "terms",
+    return fence(
+        with_len.select(
+            "doc_id",
+            "orig_len",
+            "kept_len",
+            F.col("kept_len" if length == "filtered" else "orig_len").alias("len"),
+            "terms",
+        ),
+        ["orig_len", "kept_len", "len", "terms"],
     )
 
 
+def fence(df: DataFrame, computed: list[str]) -> DataFrame:
+    """Keep later filters on ``computed`` columns above this point.
+
+    Catalyst pushes a filter below projections by substituting the projected
+    expressions. For the array columns built here (sort, run starts, run
+    counts: each step refers to the previous one several times, also inside
+    lambdas) the substituted expression recomputes the earlier steps per array
+    element, which turns O(k log k) per document into O(k^3). A predicate on
+    the output of a generator is not pushed below it, so the columns go
+    through a one-element ``explode_outer`` (``outer``: no inferred size filter).
+    """
+    keep = [c for c in df.columns if c not in computed]
+    boxed = df.select(*keep, F.explode_outer(F.array(F.struct(*computed))).alias("_v"))
+    return boxed.select(*keep, *[F.col(f"_v.{c}").alias(c) for c in computed]).select(*df.columns)
+
+
 def explode_terms(vec: DataFrame, column: str = "terms", alias: str = "e") -> DataFrame:
     """One row per entry of an array column, keeping the other columns.
 

@@ -32,7 +32,7 @@ from termsim.operators.frequencies import (
     term_frequencies,
 )
 from termsim.operators.similarity import rounded
-from termsim.operators.weights import term_stats
+from termsim.operators.weights import idf, term_stats
 from termsim.sources.corpus import DOCUMENT_ROWS, corpus_shape
 
 QueryInput = Sequence[str] | DataFrame
@@ -289,3 +289,46 @@ def terms_not_found(queries: DataFrame, ranked: DataFrame) -> DataFrame:
     out, or nothing positive left)."""
     found = ranked.select("query").distinct()
     return queries.join(found, "query", "left_anti").select("pos", "query")
+
+
+# --------------------------------------------------------------------------
+# pair-level views (O21, O23)
+# --------------------------------------------------------------------------
+
+
+def weight_dots(
+    corpus: DataFrame,
+    queries: QueryInput,
+    pattern: str | None = DEFAULT_PATTERN,
+    length: str = "filtered",
+    check_ids: bool = True,
+) -> DataFrame:
+    """``(query, term, dot)``: dot product of the TF-IDF vectors of each query
+    term and each term sharing a document with it (``sum_d w_q * w_t``)."""
+    idfs = idf(term_frequencies(corpus, pattern, length), corpus_size(corpus, check_ids))
+    idf_t = idfs.select("term", F.col("idf").alias("idf_t"))
+    idf_q = idfs.select(F.col("term").alias("query"), F.col("idf").alias("idf_q"))
+    return (
+        query_dots(corpus, queries, pattern, length)
+        .join(idf_t, "term")
+        .join(idf_q, "query")
+        .select("query", "term", (F.col("dot") * F.col("idf_q") * F.col("idf_t")).alias("dot"))
+    )
+
+
+def cosine_pairs(
+    corpus: DataFrame,
+    pairs: DataFrame,
+    pattern: str | None = DEFAULT_PATTERN,
+    length: str = "filtered",
+    check_ids: bool = True,
+) -> DataFrame:
+    """``(term1, term2, similarity)`` for given term pairs; 0.0 when the two
+    terms share no document (or a term is unknown or has norm 0)."""
+    firsts = pairs.select(F.col("term1").alias("query"))
+    sims = query_similarities(corpus, firsts, pattern, length, None, check_ids).select(
+        F.col("query").alias("term1"), F.col("term").alias("term2"), "similarity"
+    )
+    return pairs.select("term1", "term2").join(sims, ["term1", "term2"], "left").select(
+        "term1", "term2", rounded(F.coalesce(F.col("similarity"), F.lit(0.0))).alias("similarity")
+    )
