@@ -63,21 +63,43 @@ def read_corpus(
     return _apply_duplicate_mode(docs, on_duplicate)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    the session's parallelism) when the scan gives fewer.
+
+    A parquet file is split by row groups, so a small table written as one row
+    group is read by one task and all per-document work (tokenize, sort, count,
+    pairs) would run on one core. A large input already has more partitions
+    than cores and is left alone (no shuffle of the raw text).
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def corpus_from_table(
-    df: DataFrame, doc_col: str = "doc_id", text_col: str = "text", on_duplicate: str = "error"
+    df: DataFrame,
+    doc_col: str = "doc_id",
+    text_col: str = "text",
+    on_duplicate: str = "error",
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Any table with a document key and a text column; the text is tokenized
     like a line of a corpus file. Only the two columns are read."""
-    docs = df.select(F.col(doc_col).alias("doc_id"), tokenize(F.col(text_col)).alias("terms"))
+    raw = spread(df.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("_text")), min_partitions)
+    docs = raw.select("doc_id", tokenize(F.col("_text")).alias("terms"))
     return _apply_duplicate_mode(docs, on_duplicate)
 
 
-def corpus_from_pairs(df: DataFrame, doc_col: str, term_col: str) -> DataFrame:
+def corpus_from_pairs(
+    df: DataFrame, doc_col: str, term_col: str, min_partitions: int | None = None
+) -> DataFrame:
     """Any table of (document, term) rows, one row per occurrence (e.g. order ->
     part). Terms are compared as strings."""
-    return df.select(
-        F.col(doc_col).alias("doc_id"), F.col(term_col).cast("string").alias("term")
-    )
+    raw = df.select(F.col(doc_col).alias("doc_id"), F.col(term_col).cast("string").alias("term"))
+    return spread(raw, min_partitions)
 
 
 def to_occurrences(corpus: DataFrame) -> DataFrame:
