@@ -54,14 +54,19 @@ def rounded(similarity: Column) -> Column:
 
 
 def _within_block(df: DataFrame, block: str) -> DataFrame:
-    """Pairs ``a < b`` of the sorted entries of one array column, per row."""
+    """Pairs ``a <= b`` of the sorted entries of one array column, per row.
+
+    The diagonal ``(a, a)`` is kept on purpose: its product is ``tf_a^2``, so
+    summed per term it gives the term's squared TF norm and its document
+    frequency, out of the same aggregate as the pair sums.
+    """
     first = df.select(
         "len", block, F.posexplode_outer(block).alias("p", "a")
     ).where(F.col("a").isNotNull())
     later = first.select(
         "len",
         "a",
-        F.explode_outer(F.slice(block, F.col("p") + 2, F.size(block) - F.col("p") - 1)).alias("b"),
+        F.explode_outer(F.slice(block, F.col("p") + 1, F.size(block) - F.col("p"))).alias("b"),
     ).where(F.col("b").isNotNull())
     return _products(later)
 
@@ -74,16 +79,19 @@ def _across_blocks(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def _products(df: DataFrame) -> DataFrame:
+    # Terms are never NULL here; non-nullable columns keep joins from inferring
+    # not-null filters that would be pushed into one consumer of the aggregate.
     lenf = F.col("len").cast("double")
     return df.select(
-        F.col("a.term").alias("term1"),
-        F.col("b.term").alias("term2"),
+        F.coalesce(F.col("a.term"), F.lit("")).alias("term1"),
+        F.coalesce(F.col("b.term"), F.lit("")).alias("term2"),
         ((F.col("a.n") / lenf) * (F.col("b.n") / lenf)).alias("prod"),
     )
 
 
 def _document_pair_products(vec: DataFrame) -> DataFrame:
-    """``(term1, term2, prod)`` with term1 < term2, from document vectors."""
+    """``(term1, term2, prod)`` with term1 <= term2 (diagonal included), from
+    document vectors."""
     k = F.size("terms")
     small = _within_block(vec.where(k <= BLOCK_TERMS).select("len", "terms"), "terms")
     big = vec.where(k > BLOCK_TERMS).select(
@@ -113,26 +121,41 @@ def _occurrence_pair_products(tf: DataFrame) -> DataFrame:
     b = tf.select("doc_id", F.col("term").alias("term2"), F.col("tf").alias("tf2"))
     return (
         a.join(b, "doc_id")
-        .where(F.col("term1") < F.col("term2"))
+        .where(F.col("term1") <= F.col("term2"))
         .select("term1", "term2", (F.col("tf1") * F.col("tf2")).alias("prod"))
     )
 
 
-def pair_dots(
+def pair_sums(
     corpus: DataFrame, pattern: str | None = DEFAULT_PATTERN, length: str = "filtered"
 ) -> DataFrame:
-    """``(term1, term2, dot, co_docs)`` for every co-occurring pair, term1 < term2.
-
-    ``dot`` is the sum over shared documents of ``tf1 * tf2`` (the TF-IDF dot
-    product divided by ``idf1 * idf2``); partial aggregation runs before the
-    shuffle.
+    """``(term1, term2, total, cnt, is_pair)`` for term1 <= term2.
+
+    Pair rows (``is_pair``): ``total = sum_d tf1 * tf2`` over shared documents
+    (the TF-IDF dot product divided by ``idf1 * idf2``), ``cnt`` = shared
+    documents. Diagonal rows: ``total = sum_d tf^2``, ``cnt = df``. Partial
+    aggregation runs before the shuffle. ``is_pair`` is an aggregate (not a
+    filter on the key) so that filters on it stay above the aggregate and all
+    consumers share one exchange.
     """
     if corpus_shape(corpus) == DOCUMENT_ROWS:
         prods = _document_pair_products(document_vectors(corpus, pattern, length))
     else:
         prods = _occurrence_pair_products(term_frequencies(corpus, pattern, length))
     return prods.groupBy("term1", "term2").agg(
-        F.sum("prod").alias("dot"), F.count(F.lit(1)).alias("co_docs")
+        F.sum("prod").alias("total"),
+        F.count(F.lit(1)).alias("cnt"),
+        F.max(F.col("term1") != F.col("term2")).alias("is_pair"),
+    )
+
+
+def pair_dots(
+    corpus: DataFrame, pattern: str | None = DEFAULT_PATTERN, length: str = "filtered"
+) -> DataFrame:
+    """``(term1, term2, dot, co_docs)`` for every co-occurring pair, term1 < term2."""
+    sums = pair_sums(corpus, pattern, length)
+    return sums.where(F.col("is_pair")).select(
+        "term1", "term2", F.col("total").alias("dot"), F.col("cnt").alias("co_docs")
     )
 
 
@@ -158,22 +181,29 @@ def similarity_matrix(
     Only positive cells exist (every absent cell is 0). By default each pair
     appears once with term1 < term2; ``both_orders=True`` adds the mirrored
     pairs and the diagonal (1.0 for every term with norm > 0), i.e. every
-    non-zero cell of the full V x V matrix.
+    non-zero cell of the full V x V matrix. Pair sums and term statistics
+    come from one aggregate.
     """
-    tf = term_frequencies(corpus, pattern, length)
-    terms = usable_terms(tf, corpus_size(corpus, check_ids))
+    n_docs = corpus_size(corpus, check_ids).scalar()
+    sums = pair_sums(corpus, pattern, length)
+    terms = sums.where(~F.col("is_pair") & (F.col("cnt") < n_docs)).select(
+        F.col("term1").alias("term"), F.col("total").alias("sumsq")
+    )
     t1 = terms.select(F.col("term").alias("term1"), F.col("sumsq").alias("ss1"))
     t2 = terms.select(F.col("term").alias("term2"), F.col("sumsq").alias("ss2"))
     cells = (
-        pair_dots(corpus, pattern, length)
+        sums.where(F.col("is_pair"))
         .join(t1, "term1")
         .join(t2, "term2")
         .select(
             "term1",
             "term2",
-            (F.col("dot") / (F.sqrt("ss1") * F.sqrt("ss2"))).alias("similarity"),
+            (F.col("total") / (F.sqrt("ss1") * F.sqrt("ss2"))).alias("similarity"),
+            "cnt",
         )
-        .where(F.col("similarity") > 0)
+        # positive exactly when the terms share a document (weights are >= 0)
+        .where((F.col("cnt") > 0) & (F.col("similarity") > 0))
+        .select("term1", "term2", "similarity")
     )
     out = cells
     if both_orders:
