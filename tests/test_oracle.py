@@ -22,8 +22,8 @@ def con():
 def _canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
 
-    def norm(v):
-        return round(v, 9) if isinstance(v, float) and not math.isnan(v) else v
+    def norm(v):  # exact comparison: both sides round similarities to 9 decimals themselves
+        return None if isinstance(v, float) and math.isnan(v) else v
 
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
 

@@ -83,3 +83,22 @@ def test_streaming_ingest_then_lookup(spark, tmp_path):
     batch = parse_lines(spark.createDataFrame([(x,) for x in F1], "value string"))
     b = similar_terms(batch, ["data"], pattern=None, n=None).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_command_line(spark, tmp_path):
+    from termsim.plans.cli import main, parse_args
+
+    p = tmp_path / "corpus.txt"
+    p.write_text("\n".join(F1) + "\n")
+    out = tmp_path / "cli"
+    args = parse_args([str(p), "data", "want", "--nofilter", "--max", "--out", str(out)])
+    assert args.max is None and args.nofilter
+    main([str(p), "data", "want", "cake", "--nofilter", "--max", "2", "--table", "--out", str(out)])
+    ranked = spark.read.parquet(str(out / "ranked"))
+    assert ranked.count() == 4
+    report = []
+    for name in sorted(os.listdir(out / "report")):
+        if name.startswith("part-"):
+            report += (out / "report" / name).read_text().splitlines()
+    assert "No term similar to cake has been found." in report
+    assert spark.read.parquet(str(out / "matrix" / "cells")).count() == 40
