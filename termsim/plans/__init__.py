@@ -9,12 +9,14 @@ from termsim.plans.jobs import (
     write_lookup,
     write_matrix,
 )
+from termsim.plans.materialize import materialize
 
 __all__ = [
     "LookupResult",
     "check_job",
     "failed_terms",
     "lookup_job",
+    "materialize",
     "matrix_job",
     "write_lookup",
     "write_matrix",

@@ -102,3 +102,15 @@ def test_command_line(spark, tmp_path):
             report += (out / "report" / name).read_text().splitlines()
     assert "No term similar to cake has been found." in report
     assert spark.read.parquet(str(out / "matrix" / "cells")).count() == 40
+
+
+def test_materialize_under_checkpoint_dir(spark, lines):
+    from termsim.plans import materialize
+    from termsim.session import checkpoint_dir
+
+    c = lines(F1)
+    ranked = similar_terms(c, ["data"], pattern=None, n=None)
+    back = materialize(ranked, "ranked")
+    base = checkpoint_dir(spark).removeprefix("file:").lstrip("/")
+    assert base in back.inputFiles()[0] and "/termsim/ranked-" in back.inputFiles()[0]
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ranked.collect()))
