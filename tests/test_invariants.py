@@ -113,3 +113,42 @@ def test_pairs_corpus_matches_text_corpus(spark):
     b = similar_terms(text, ["data", "A"], pattern=None, n=None)
     cols = ["query", "rank", "term", "similarity"]
     assert _rows(a, cols) == _rows(b, cols)
+
+
+@pytest.mark.parametrize("length", ["filtered", "original"])
+def test_length_modes_agree_across_corpus_shapes(docs, length):
+    qs = ["the", "and"]
+    a = similar_terms(docs, qs, pattern=SHORT, length=length, n=None)
+    b = similar_terms(to_occurrences(docs), qs, pattern=SHORT, length=length, n=None)
+    cols = ["query", "rank", "term", "similarity"]
+    assert _rows(a, cols) == _rows(b, cols)
+
+
+def test_search_with_query_dataframe(spark, docs):
+    qs = ["the", "of"]
+    qdf = spark.createDataFrame(list(enumerate(qs)), "pos int, query string")
+    a = similar_terms(docs, qs, pattern=None, search="^[a-z]*ing$", n=3)
+    b = similar_terms(docs, qdf, pattern=None, search="^[a-z]*ing$", n=3)
+    cols = ["query", "rank", "term", "similarity"]
+    assert _rows(a, cols) == _rows(b, cols)
+    assert all(r["term"].endswith("ing") for r in a.collect())
+
+
+def test_pairs_with_null_terms_count_in_n(spark):
+    from termsim import corpus_size, term_frequencies
+
+    rows = [("o1", "p1"), ("o1", "p2"), ("o2", "p1"), ("o3", None)]
+    c = corpus_from_pairs(spark.createDataFrame(rows, "d string, t string"), "d", "t")
+    assert corpus_size(c).collect()[0]["n_docs"] == 3
+    tf = {(r["doc_id"], r["term"]): r["tf"] for r in term_frequencies(c, None).collect()}
+    assert tf == {("o1", "p1"): 0.5, ("o1", "p2"): 0.5, ("o2", "p1"): 1.0}
+
+
+def test_merge_mode_for_tables(spark):
+    from termsim import corpus_size, term_frequencies
+
+    df = spark.createDataFrame([(1, "a b"), (1, "b c"), (2, "a")], "id long, txt string")
+    c = corpus_from_table(df, "id", "txt", on_duplicate="merge")
+    assert corpus_size(c).collect()[0]["n_docs"] == 2
+    tf = {(r["doc_id"], r["term"]): (r["n"], r["len"]) for r in term_frequencies(c, None).collect()}
+    assert tf == {(1, "a"): (1, 4), (1, "b"): (2, 4), (1, "c"): (1, 4), (2, "a"): (1, 1)}

@@ -1,7 +1,6 @@
 """Report layout, text-file scan, table sinks, jobs and streaming ingest."""
 
 import os
-import time
 
 from conftest import F1
 from termsim import query_frame, read_corpus, report_lines, similar_terms
