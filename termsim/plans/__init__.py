@@ -9,12 +9,15 @@ from termsim.plans.jobs import (
     write_lookup,
     write_matrix,
 )
+from termsim.plans.index import build_index, lookup_index
 from termsim.plans.materialize import materialize
 
 __all__ = [
     "LookupResult",
+    "build_index",
     "check_job",
     "failed_terms",
+    "lookup_index",
     "lookup_job",
     "materialize",
     "matrix_job",
