@@ -1,8 +1,9 @@
 """Per-row column expressions over text and term arrays.
 
 Everything here builds a ``Column`` from built-in functions (split, filter,
-transform, array_sort, ...), so it runs inside whole-stage codegen on the
-executors; there is no Python UDF.
+transform, sort_array, ...), so it runs in the executor JVM next to the scan,
+inside the same stage; there is no Python UDF. (Higher-order functions such as
+``transform`` are evaluated by Spark's interpreter inside the generated code.)
 """
 
 from __future__ import annotations

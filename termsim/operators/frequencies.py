@@ -45,7 +45,8 @@ def document_vectors(
     sorted_docs = corpus.select(
         "doc_id",
         F.size("terms").cast("bigint").alias("orig_len"),
-        F.array_sort("terms").alias("_sorted"),
+        # native ordering (binary string order); tokens are never NULL
+        F.sort_array("terms").alias("_sorted"),
     )
     with_starts = sorted_docs.select("doc_id", "orig_len", "_sorted", run_starts("_sorted").alias("_starts"))
     counted = with_starts.select(
