@@ -69,7 +69,7 @@ def _distinct_list(queries: QueryInput) -> list[str] | None:
 
 
 # --------------------------------------------------------------------------
-# (query, term) dot products, self pairs included (O8, O21, O25)
+# (query, term) dot products and term statistics (O8, O21)
 # --------------------------------------------------------------------------
 
 
@@ -109,10 +109,11 @@ def _one_pass_sums(
     ``h`` of the same document. Tokens are never empty, so ``''`` marks the
     statistics rows; the column is non-nullable, so joins on it infer no
     not-null filter that would be pushed into one branch only (every branch
-    must stay identical to share the exchange). Output ``(query, term, total,
-    cnt, is_pair)``:
-    for statistics rows ``total = sum tf^2`` and ``cnt = df``; for pair rows
-    ``total = dot`` and ``cnt`` = shared documents.
+    must stay identical to share the exchange).
+
+    Output ``(query, term, total, cnt, is_pair)``: for statistics rows
+    ``total = sum tf^2`` and ``cnt = df``; for pair rows ``total = dot`` and
+    ``cnt`` = shared documents.
     """
     vec = document_vectors(corpus, pattern, length).select(
         "len", "terms", F.filter("terms", lambda e: e["term"].isin(qlist)).alias("hits")
