@@ -50,7 +50,11 @@ def build_index(
     mode: str = "error",
     buckets: int = 256,
 ) -> None:
-    """Write the index of ``corpus`` under ``path`` (runs the jobs)."""
+    """Write the index of ``corpus`` under ``path`` (runs the jobs).
+
+    ``buckets`` sets the pruning grain of the vectors: a lookup reads the
+    buckets that hold at least one document of a query term; size it so a
+    bucket is a small fraction of the corpus (more for larger corpora)."""
     tf = term_frequencies(corpus, pattern, length)
     (
         tf.select("term", "doc_id", "tf", _bucket(buckets))
@@ -63,7 +67,9 @@ def build_index(
         vec = document_vectors(corpus, pattern, length)
         (
             vec.select("doc_id", "len", "terms", _bucket(buckets))
-            .repartition(buckets, "bucket")  # one writer per bucket folder
+            # contiguous (bucket, doc_id) ranges: each writer holds one or two
+            # bucket folders, and a large bucket is spread over several writers
+            .repartitionByRange("bucket", "doc_id")
             .write.mode(mode)
             .partitionBy("bucket")
             .parquet(f"{path}/vectors")
