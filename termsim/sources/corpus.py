@@ -73,8 +73,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     than cores and is left alone (no shuffle of the raw text).
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view; keep the scan as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want)
 
