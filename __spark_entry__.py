@@ -44,6 +44,7 @@ REPORT_QUERIES = ["the", "cake", "of"]
 SHORT_WORDS = r"^[a-z]{1,3}$"
 FUNCTION_WORDS = r"^(the|and|of|to|in|is|was|for|on|with)$"
 SEARCH = r"^[a-z]*ing$"
+PART_PATTERN = r"^1"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,6 +197,15 @@ def q_similar_terms_original_len(spark, sf):
     return similar_terms(_documents(spark, sf), QUERIES, pattern=SHORT_WORDS, length="original", n=5)
 
 
+def q_similar_terms_joined(spark, sf):
+    # the same lookup through the occurrence-row plan (join on doc_id)
+    return similar_terms(to_occurrences(_documents(spark, sf)), QUERIES, pattern=None, n=5)
+
+
+def q_similarity_matrix_parts_original_len(spark, sf):
+    return similarity_matrix(_baskets(spark, sf), PART_PATTERN, length="original")
+
+
 def q_similar_terms_batch(spark, sf):
     qf = query_frame(spark, BATCH_QUERIES)
     ranked = similar_terms(_documents(spark, sf), BATCH_QUERIES, pattern=None, n=5)
@@ -260,6 +270,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "similar_terms_search": q_similar_terms_search,
         "similar_terms_filtered": q_similar_terms_filtered,
         "similar_terms_original_len": q_similar_terms_original_len,
+        "similar_terms_joined": q_similar_terms_joined,
+        "similarity_matrix_parts_original_len": q_similarity_matrix_parts_original_len,
         "similar_terms_batch": q_similar_terms_batch,
         "similar_parts": q_similar_parts,
         "terms_not_found": q_terms_not_found,
@@ -423,6 +435,10 @@ FROM p LEFT JOIN c ON p.term1 = c.term1 AND p.term2 = c.term2""",
         "similar_terms_search": _ranked(docs, QUERIES, 5, SEARCH),
         "similar_terms_filtered": _ranked(short, QUERIES, 5),
         "similar_terms_original_len": _ranked(_docs_sql(SHORT_WORDS, "original"), QUERIES, 5),
+        "similar_terms_joined": _ranked(docs, QUERIES, 5),
+        "similarity_matrix_parts_original_len": _matrix(
+            _pairs_sql("lineitem", "l_orderkey", "l_partkey", PART_PATTERN, "original")
+        ),
         "similar_terms_batch": f"""WITH {_ranked_sql(docs, BATCH_QUERIES, 5)}, {_positions(BATCH_QUERIES)}
 SELECT pos, query, rank, term, similarity FROM qf JOIN rk USING (query)""",
         "similar_parts": f"""WITH {baskets},{_WEIGHTS},

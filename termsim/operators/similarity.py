@@ -18,7 +18,8 @@ row (no shuffle of postings). A document with more than ``BLOCK_TERMS``
 distinct terms is cut into blocks of sorted terms and its block pairs are
 spread over tasks, so one huge document does not land on one task. For
 occurrence rows the pairs come from a join on ``doc_id``; adaptive execution
-splits a skewed document there.
+splits a skewed document there. The diagonal pairs (t, t) give each term's
+document frequency and squared TF norm out of the same aggregate.
 """
 
 from __future__ import annotations
