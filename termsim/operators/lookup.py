@@ -42,6 +42,11 @@ QueryInput = Sequence[str] | DataFrame
 # range-partitioned sort so that no query's result list sits in one task.
 WINDOW_TOP_N_MAX = 1000
 
+# Up to this many query terms (a driver-side list) the lookup aggregates by
+# term only, with one dot-product column per query term; beyond it, by
+# (query, term) rows.
+WIDE_QUERY_MAX = 64
+
 
 # --------------------------------------------------------------------------
 # queries
@@ -143,6 +148,89 @@ def _one_pass_sums(
     )
 
 
+def _term_is(q: str):
+    # a one-argument lambda: Spark passes (element, index) to two-argument ones
+    return lambda h: h["term"] == F.lit(q)
+
+
+def _wide_similarities(
+    corpus: DataFrame,
+    qlist: list[str],
+    pattern: str | None,
+    length: str,
+    search: str | None,
+    n_docs,
+) -> DataFrame:
+    """Document rows + a short query list: one aggregate keyed by term.
+
+    Each posting ``(d, t)`` emits one row: ``tf^2`` and, when ``d`` holds any
+    query term, the array ``[tf_{q_i,d} * tf_{t,d}]`` over the query list. The
+    aggregate by ``t`` (partial, then one shuffle on ``t``) gives ``df_t``,
+    ``sum tf_t^2`` and ``dot(q_i, t)`` on the same row, so no join with a term
+    statistics table is needed. The query terms' own statistics come from a
+    scalar subquery over the same aggregate: a map with at most ``len(qlist)``
+    entries. Filters on the aggregate are written against its outputs so that
+    they stay above it and the subquery reuses the exchange.
+    """
+    vec = document_vectors(corpus, pattern, length).select(
+        "len", "terms", F.filter("terms", lambda e: e["term"].isin(qlist)).alias("hits")
+    )
+    lenf = F.col("len").cast("double")
+    # tf of every query term in this document (0 when absent); NULL when none is present
+    qtf = F.when(
+        F.size("hits") > 0,
+        F.array(
+            *[
+                F.coalesce(F.get(F.filter("hits", _term_is(q)), 0)["n"] / lenf, F.lit(0.0))
+                for q in qlist
+            ]
+        ),
+    )
+    entries = explode_terms(vec.select("len", "terms", qtf.alias("qtf")), "terms", "e").select(
+        F.col("e.term").alias("term"),
+        (F.col("e.n") / F.col("len").cast("double")).alias("tf"),
+        "qtf",
+    )
+    rows = entries.select(
+        "term",
+        (F.col("tf") * F.col("tf")).alias("tf2"),
+        F.transform("qtf", lambda v: v * F.col("tf")).alias("x"),
+    )
+    agg = rows.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"),
+        F.sum("tf2").alias("sumsq"),
+        *[F.sum(F.col("x")[i]).alias(f"dot{i}") for i in range(len(qlist))],
+    )
+    # non-pushable form of "term IN qlist": df is an aggregate output (always > 0)
+    qrows = agg.where(F.when(F.col("df") > 0, F.col("term").isin(qlist)))
+    # every aggregate column is carried (the dots too, at most len(qlist)^2
+    # numbers), so column pruning leaves this copy of the aggregate identical
+    # to the main one and the subquery reads the same exchange
+    dot_cols = [f"dot{i}" for i in range(len(qlist))]
+    qmap = qrows.agg(
+        F.map_from_entries(F.collect_list(F.struct("term", F.struct("df", "sumsq", *dot_cols)))).alias("m")
+    ).scalar()
+    usable = F.col("df") < n_docs
+    if search is not None:
+        usable = usable & F.when(F.col("df") > 0, F.col("term").rlike(search))
+    dots = F.filter(
+        F.array(*[F.struct(F.lit(q).alias("query"), F.col(f"dot{i}").alias("dot")) for i, q in enumerate(qlist)]),
+        lambda d: (d["dot"] > 0) & (d["query"] != F.col("term")),
+    )
+    cand = explode_terms(agg.where(usable).select("term", "sumsq", dots.alias("ds")), "ds", "d")
+    q = F.try_element_at(qmap, F.col("d.query"))
+    return (
+        cand.select(
+            F.col("d.query").alias("query"),
+            "term",
+            (F.col("d.dot") / (F.sqrt(q["sumsq"]) * F.sqrt("sumsq"))).alias("similarity"),
+            q["df"].alias("df_q"),
+        )
+        .where((F.col("df_q") < n_docs) & (F.col("similarity") > 0))
+        .select("query", "term", "similarity")
+    )
+
+
 def query_similarities(
     corpus: DataFrame,
     queries: QueryInput,
@@ -155,6 +243,8 @@ def query_similarities(
     every query term to another term (search filter applied)."""
     n_docs = corpus_size(corpus, check_ids).scalar()
     qlist = _distinct_list(queries)
+    if qlist is not None and corpus_shape(corpus) == DOCUMENT_ROWS and len(qlist) <= WIDE_QUERY_MAX:
+        return _wide_similarities(corpus, qlist, pattern, length, search, n_docs)
     if qlist is not None and corpus_shape(corpus) == DOCUMENT_ROWS:
         sums = _one_pass_sums(corpus, qlist, pattern, length)
         is_pair = F.col("is_pair")

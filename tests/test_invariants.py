@@ -152,3 +152,21 @@ def test_merge_mode_for_tables(spark):
     assert corpus_size(c).collect()[0]["n_docs"] == 2
     tf = {(r["doc_id"], r["term"]): (r["n"], r["len"]) for r in term_frequencies(c, None).collect()}
     assert tf == {(1, "a"): (1, 4), (1, "b"): (2, 4), (1, "c"): (1, 4), (2, "a"): (1, 1)}
+
+
+@pytest.mark.parametrize(
+    "kw",
+    [
+        {"pattern": None, "n": None},
+        {"pattern": SHORT, "length": "original", "n": 7},
+        {"pattern": None, "search": "^[a-z]*ing$", "n": 3},
+    ],
+)
+def test_wide_lookup_equals_row_lookup(docs, monkeypatch, kw):
+    import termsim.operators.lookup as lookup_mod
+
+    qs = ["the", "and", "is", "of", "a", "cake"]
+    wide = _rows(similar_terms(docs, qs, **kw), ["query", "rank", "term", "similarity"])
+    monkeypatch.setattr(lookup_mod, "WIDE_QUERY_MAX", 0)
+    rows = _rows(similar_terms(docs, qs, **kw), ["query", "rank", "term", "similarity"])
+    assert wide == rows and wide

@@ -9,9 +9,22 @@ SF = "/root/testdata/sf0.001"
 
 
 def _final_plan(df) -> str:
-    """The adaptive plan as it ran (after ``collect``), without the initial plan."""
+    """The adaptive plan as it ran (after ``collect``): the initial plans that
+    adaptive subqueries also print are cut out."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().executedPlan().toString()
+    kept, skip_indent = [], None
+    for line in plan.splitlines():
+        indent = len(line) - len(line.lstrip(" :|+-"))
+        if "== Initial Plan ==" in line:
+            skip_indent = indent
+            continue
+        if skip_indent is not None:
+            if indent >= skip_indent:  # the initial plan's root sits at the header's column
+                continue
+            skip_indent = None
+        kept.append(line)
+    return "\n".join(kept)
 
 
 def _physical(df) -> str:
@@ -27,7 +40,19 @@ def test_lookup_reads_text_once_and_shares_the_aggregate(docs):
     final = _final_plan(similar_terms(docs, ["the", "and", "is", "of"], pattern=None, n=5))
     text_scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "text" in ln]
     assert len(text_scans) == 1, final
-    # term statistics and query statistics read the pair aggregate's exchange
+    # the query-term statistics (a scalar subquery) read the term aggregate's exchange
+    assert final.count("ReusedExchange") >= 1, final
+    # statistics of the co-occurring terms sit on the same aggregate row: no join
+    assert "HashJoin" not in final and "SortMergeJoin" not in final, final
+
+
+def test_long_query_lists_share_the_pair_aggregate(docs, monkeypatch):
+    import termsim.operators.lookup as lookup_mod
+
+    monkeypatch.setattr(lookup_mod, "WIDE_QUERY_MAX", 2)
+    final = _final_plan(similar_terms(docs, ["the", "and", "is", "of"], pattern=None, n=5))
+    text_scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "text" in ln]
+    assert len(text_scans) == 1, final
     assert final.count("ReusedExchange") >= 2, final
 
 
