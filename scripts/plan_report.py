@@ -18,6 +18,22 @@ import bench  # noqa: E402
 from termsim.session import local_session  # noqa: E402
 
 
+def executed(plan: str) -> str:
+    """Drop the initial plans that adaptive subqueries also print."""
+    kept, skip = [], None
+    for line in plan.splitlines():
+        indent = len(line) - len(line.lstrip(" :|+-"))
+        if "== Initial Plan ==" in line:
+            skip = indent
+            continue
+        if skip is not None:
+            if indent >= skip:
+                continue
+            skip = None
+        kept.append(line)
+    return "\n".join(kept)
+
+
 def summary(plan: str) -> dict:
     scans = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\]", plan)
     return {
@@ -38,7 +54,7 @@ def main() -> None:
         df = build(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().executedPlan().toString()
-        print(name, summary(plan), flush=True)
+        print(name, summary(executed(plan)), flush=True)
 
 
 if __name__ == "__main__":
