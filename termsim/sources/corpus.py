@@ -59,7 +59,7 @@ def read_corpus(
     rows, so lines with the same id form one document (counts and lengths add
     up, the corpus size counts the id once).
     """
-    docs = parse_lines(spark.read.text(path))
+    docs = parse_lines(spread(spark.read.text(path)))
     return _apply_duplicate_mode(docs, on_duplicate)
 
 
