@@ -161,37 +161,60 @@ def _wide_similarities(
     search: str | None,
     n_docs,
 ) -> DataFrame:
-    """Document rows + a short query list: one aggregate keyed by term.
+    """A short query list: one aggregate keyed by term.
 
-    Each posting ``(d, t)`` emits one row: ``tf^2`` and, when ``d`` holds any
+    Each posting ``(d, t)`` becomes one row: ``tf^2`` and, when ``d`` holds any
     query term, the array ``[tf_{q_i,d} * tf_{t,d}]`` over the query list. The
     aggregate by ``t`` (partial, then one shuffle on ``t``) gives ``df_t``,
     ``sum tf_t^2`` and ``dot(q_i, t)`` on the same row, so no join with a term
-    statistics table is needed. The query terms' own statistics come from a
-    scalar subquery over the same aggregate: a map with at most ``len(qlist)``
-    entries. Filters on the aggregate are written against its outputs so that
-    they stay above it and the subquery reuses the exchange.
+    statistics table is needed.
+
+    Document rows get the query terms' TFs from their own row. Occurrence rows
+    get them from a per-document aggregate of the query postings (at most
+    ``len(qlist)`` rows per document) joined back on ``doc_id``.
     """
-    vec = document_vectors(corpus, pattern, length).select(
-        "len", "terms", F.filter("terms", lambda e: e["term"].isin(qlist)).alias("hits")
-    )
-    lenf = F.col("len").cast("double")
-    # tf of every query term in this document (0 when absent); NULL when none is present
-    qtf = F.when(
-        F.size("hits") > 0,
-        F.array(
-            *[
-                F.coalesce(F.get(F.filter("hits", _term_is(q)), 0)["n"] / lenf, F.lit(0.0))
-                for q in qlist
-            ]
-        ),
-    )
-    entries = explode_terms(vec.select("len", "terms", qtf.alias("qtf")), "terms", "e").select(
-        F.col("e.term").alias("term"),
-        (F.col("e.n") / F.col("len").cast("double")).alias("tf"),
-        "qtf",
-    )
-    rows = entries.select(
+    if corpus_shape(corpus) == DOCUMENT_ROWS:
+        vec = document_vectors(corpus, pattern, length).select(
+            "len", "terms", F.filter("terms", lambda e: e["term"].isin(qlist)).alias("hits")
+        )
+        lenf = F.col("len").cast("double")
+        # tf of every query term in this document (0 when absent); NULL when none is present
+        qtf = F.when(
+            F.size("hits") > 0,
+            F.array(
+                *[
+                    F.coalesce(F.get(F.filter("hits", _term_is(q)), 0)["n"] / lenf, F.lit(0.0))
+                    for q in qlist
+                ]
+            ),
+        )
+        postings = explode_terms(vec.select("len", "terms", qtf.alias("qtf")), "terms", "e").select(
+            F.col("e.term").alias("term"),
+            (F.col("e.n") / F.col("len").cast("double")).alias("tf"),
+            "qtf",
+        )
+    else:
+        tf = term_frequencies(corpus, pattern, length)
+        per_doc = (
+            tf.where(F.col("term").isin(qlist))
+            .groupBy("doc_id")
+            .agg(
+                F.array(
+                    *[F.coalesce(F.sum(F.when(F.col("term") == F.lit(q), F.col("tf"))), F.lit(0.0)) for q in qlist]
+                ).alias("qtf")
+            )
+        )
+        postings = tf.join(per_doc, "doc_id", "left").select("term", "tf", "qtf")
+    return _wide_tail(postings, qlist, search, n_docs)
+
+
+def _wide_tail(postings: DataFrame, qlist: list[str], search: str | None, n_docs) -> DataFrame:
+    """``(term, tf, qtf)`` rows -> ``(query, term, similarity)`` through one
+    aggregate keyed by term. The query terms' own statistics come from a
+    scalar subquery over the same aggregate (a map with at most ``len(qlist)``
+    entries); filters on the aggregate are written against its outputs so that
+    they stay above it and the subquery reuses the exchange."""
+    rows = postings.select(
         "term",
         (F.col("tf") * F.col("tf")).alias("tf2"),
         F.transform("qtf", lambda v: v * F.col("tf")).alias("x"),
@@ -243,7 +266,7 @@ def query_similarities(
     every query term to another term (search filter applied)."""
     n_docs = corpus_size(corpus, check_ids).scalar()
     qlist = _distinct_list(queries)
-    if qlist is not None and corpus_shape(corpus) == DOCUMENT_ROWS and len(qlist) <= WIDE_QUERY_MAX:
+    if qlist is not None and len(qlist) <= WIDE_QUERY_MAX:
         return _wide_similarities(corpus, qlist, pattern, length, search, n_docs)
     if qlist is not None and corpus_shape(corpus) == DOCUMENT_ROWS:
         sums = _one_pass_sums(corpus, qlist, pattern, length)
