@@ -2,12 +2,15 @@
 
 One DataFrame plan answers all queries at once (the reference runs one job
 per query term over a pre-built V x V matrix). Only pairs that involve a query
-term are ever formed:
-
-* query terms given as a list: each document row that holds a query term
-  emits (query, term) products for its own terms, with no shuffle before the
-  partial aggregation; the list is a literal set (hash lookup per term);
-* query terms given as a DataFrame, or occurrence-row corpora: the query
+term are ever formed. Three plans, by the shape of the input:
+
+* a query list of up to ``WIDE_QUERY_MAX`` terms: one aggregate keyed by term,
+  each row carrying the term's df, its sum of tf^2 and one dot product per
+  query term (``_wide_similarities``); for document rows the products come
+  from the row itself, with no shuffle before the partial aggregation;
+* a longer list over document rows: (query, term) rows and term-statistics
+  rows in one aggregate keyed by both (``_one_pass_sums``);
+* a query DataFrame, or a longer list over occurrence rows: the query
   postings are joined with all postings on ``doc_id``; adaptive execution
   picks broadcast or sort-merge from the real size of the query side.
 
