@@ -113,3 +113,16 @@ def test_materialize_under_checkpoint_dir(spark, lines):
     base = checkpoint_dir(spark).removeprefix("file:").lstrip("/")
     assert base in back.inputFiles()[0] and "/termsim/ranked-" in back.inputFiles()[0]
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ranked.collect()))
+
+
+def test_streaming_default_checkpoint_under_checkpoint_dir(spark, tmp_path):
+    src = tmp_path / "in2"
+    src.mkdir()
+    (src / "a.txt").write_text("\n".join(F1) + "\n")
+    table = str(tmp_path / "table2")
+    q = append_corpus(read_corpus_stream(spark, str(src), max_files_per_trigger=1), table)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(table).count() == 4
