@@ -90,12 +90,17 @@ def _products(df: DataFrame) -> DataFrame:
     )
 
 
-def _document_pair_products(vec: DataFrame) -> DataFrame:
+def _document_pair_products(corpus: DataFrame, pattern: str | None, length: str) -> DataFrame:
     """``(term1, term2, prod)`` with term1 <= term2 (diagonal included), from
-    document vectors."""
+    document rows."""
     k = F.size("terms")
+    vec = document_vectors(corpus, pattern, length)
     small = _within_block(vec.where(k <= BLOCK_TERMS).select("len", "terms"), "terms")
-    big = vec.where(k > BLOCK_TERMS).select(
+    # only a document with more tokens than BLOCK_TERMS can have more distinct
+    # terms: the large-document branch tests the token count first, so most
+    # documents are only split there, not sorted and counted
+    long_docs = document_vectors(corpus.where(F.size("terms") > BLOCK_TERMS), pattern, length)
+    big = long_docs.where(k > BLOCK_TERMS).select(
         "doc_id", "len", "terms", F.ceil(k / F.lit(BLOCK_TERMS)).cast("int").alias("nb")
     )
     units = (
@@ -140,7 +145,7 @@ def pair_sums(
     consumers share one exchange.
     """
     if corpus_shape(corpus) == DOCUMENT_ROWS:
-        prods = _document_pair_products(document_vectors(corpus, pattern, length))
+        prods = _document_pair_products(corpus, pattern, length)
     else:
         prods = _occurrence_pair_products(term_frequencies(corpus, pattern, length))
     return prods.groupBy("term1", "term2").agg(
