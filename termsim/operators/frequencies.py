@@ -156,7 +156,7 @@ def corpus_size(corpus: DataFrame, check_ids: bool = True) -> DataFrame:
         )
         return counted.select(
             F.when(F.col("rows") == F.col("ids"), F.col("rows"))
-            .otherwise(F.raise_error(F.lit("repeated doc_id in the corpus; use on_duplicate='merge'")))
+            .otherwise(F.raise_error(F.lit("repeated or NULL doc_id in the corpus; use on_duplicate='merge'")))
             .cast("bigint")
             .alias("n_docs")
         )

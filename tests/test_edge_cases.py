@@ -49,7 +49,7 @@ def test_duplicate_id_errors_by_default(lines):
     c = lines(F1 + ["D1 more"])
     with pytest.raises((PySparkException, CapturedException, Exception)) as err:
         similar_terms(c, ["data"], pattern=None).collect()
-    assert "repeated doc_id" in str(err.value)
+    assert "repeated or NULL doc_id" in str(err.value)
 
 
 def test_duplicate_id_merge(spark, tmp_path):
@@ -110,3 +110,12 @@ def test_query_filtered_out_is_not_found(spark, lines):
 
 def test_empty_query_list(lines):
     assert similar_terms(lines(F1), [], pattern=None).count() == 0
+
+
+def test_null_doc_id_is_reported(spark):
+    from termsim import corpus_from_table
+
+    df = spark.createDataFrame([(1, "a b"), (None, "b c"), (2, "a c")], "id long, txt string")
+    with pytest.raises(Exception) as err:
+        similar_terms(corpus_from_table(df, "id", "txt"), ["a"], pattern=None).collect()
+    assert "NULL doc_id" in str(err.value)
