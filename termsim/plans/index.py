@@ -55,14 +55,6 @@ def build_index(
     ``buckets`` sets the pruning grain of the vectors: a lookup reads the
     buckets that hold at least one document of a query term; size it so a
     bucket is a small fraction of the corpus (more for larger corpora)."""
-    tf = term_frequencies(corpus, pattern, length)
-    (
-        tf.select("term", "doc_id", "tf", _bucket(buckets))
-        .repartitionByRange("term", "doc_id")
-        .sortWithinPartitions("term", "doc_id")
-        .write.mode(mode)
-        .parquet(f"{path}/postings")
-    )
     if corpus_shape(corpus) == DOCUMENT_ROWS:
         vec = document_vectors(corpus, pattern, length)
         (
@@ -74,6 +66,24 @@ def build_index(
             .partitionBy("bucket")
             .parquet(f"{path}/vectors")
         )
+        # postings and statistics come from the written vectors: the corpus is
+        # tokenized once, and later jobs start from files, not from the scan
+        written = corpus.sparkSession.read.parquet(f"{path}/vectors")
+        tf = explode_terms(written, "terms", "e").select(
+            "doc_id",
+            F.col("e.term").alias("term"),
+            (F.col("e.n") / F.col("len").cast("double")).alias("tf"),
+            "bucket",
+        )
+    else:
+        tf = term_frequencies(corpus, pattern, length).select("doc_id", "term", "tf", _bucket(buckets))
+    (
+        tf.select("term", "doc_id", "tf", "bucket")
+        .repartitionByRange("term", "doc_id")
+        .sortWithinPartitions("term", "doc_id")
+        .write.mode(mode)
+        .parquet(f"{path}/postings")
+    )
     term_stats(tf).write.mode(mode).parquet(f"{path}/stats")
     corpus_size(corpus, check_ids).select(
         "n_docs",
