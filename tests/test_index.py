@@ -58,3 +58,13 @@ def test_index_prunes_vector_buckets(spark, doc_index):
     plan = df._jdf.queryExecution().executedPlan().toString()
     vec_scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "/vectors" in ln]
     assert vec_scans and all("dynamicpruning" in ln.lower() for ln in vec_scans), vec_scans
+
+
+def test_index_with_pattern_and_original_length(spark, tmp_path):
+    docs = corpus_from_table(spark.read.parquet(f"{SF}/documents.parquet"))
+    path = str(tmp_path / "short")
+    short = r"^[a-z]{1,3}$"
+    build_index(docs, path, pattern=short, length="original", buckets=16)
+    qs = ["the", "and", "of"]
+    direct = similar_terms(docs, qs, pattern=short, length="original", n=None)
+    assert _rows(lookup_index(spark, path, qs, n=None)) == _rows(direct)
