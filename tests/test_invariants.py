@@ -170,3 +170,24 @@ def test_wide_lookup_equals_row_lookup(docs, monkeypatch, kw):
     monkeypatch.setattr(lookup_mod, "WIDE_QUERY_MAX", 0)
     rows = _rows(similar_terms(docs, qs, **kw), ["query", "rank", "term", "similarity"])
     assert wide == rows and wide
+
+
+def test_distributed_rank_with_sort_merge_offsets(spark, monkeypatch):
+    """Many queries and no broadcasts: the offsets join becomes a sort-merge
+    join and the positioned rows pass through another shuffle."""
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = spark.read.parquet(f"{SF}/part.parquet").where(F.col("p_size") <= 10)
+        qdf = parts.select(F.col("p_partkey").cast("int").alias("pos"), F.col("p_partkey").cast("string").alias("query"))
+        baskets = corpus_from_pairs(spark.read.parquet(f"{SF}/lineitem.parquet"), "l_orderkey", "l_partkey")
+        scored = query_similarities(baskets, qdf, None)
+        s = scored.select("query", "term", F.round("similarity", 9).alias("similarity"))
+        ranked = rank_all(s)
+        cols = ["query", "rank", "term", "similarity"]
+        got = _rows(ranked, cols)
+        assert "SortMergeJoin" in ranked._jdf.queryExecution().executedPlan().toString()
+        assert got and got == _rows(rank_terms(scored, 10**6), cols)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
