@@ -156,15 +156,8 @@ def _term_is(q: str):
     return lambda h: h["term"] == F.lit(q)
 
 
-def _wide_similarities(
-    corpus: DataFrame,
-    qlist: list[str],
-    pattern: str | None,
-    length: str,
-    search: str | None,
-    n_docs,
-) -> DataFrame:
-    """A short query list: one aggregate keyed by term.
+def _wide_postings(corpus: DataFrame, qlist: list[str], pattern: str | None, length: str) -> DataFrame:
+    """A short query list: one aggregate keyed by term (postings side).
 
     Each posting ``(d, t)`` becomes one row: ``tf^2`` and, when ``d`` holds any
     query term, the array ``[tf_{q_i,d} * tf_{t,d}]`` over the query list. The
@@ -208,14 +201,14 @@ def _wide_similarities(
             )
         )
         postings = tf.join(per_doc, "doc_id", "left").select("term", "tf", "qtf")
-    return _wide_tail(postings, qlist, search, n_docs)
+    return postings
 
 
-def _wide_tail(postings: DataFrame, qlist: list[str], search: str | None, n_docs) -> DataFrame:
-    """``(term, tf, qtf)`` rows -> ``(query, term, similarity)`` through one
-    aggregate keyed by term. The query terms' own statistics come from a
-    scalar subquery over the same aggregate (a map with at most ``len(qlist)``
-    entries); filters on the aggregate are written against its outputs so that
+def _wide_aggregate(postings: DataFrame, qlist: list[str]):
+    """``(term, tf, qtf)`` rows -> ``(agg, qmap)``: the aggregate keyed by term
+    (``df``, ``sumsq``, ``dot0..``) and, as a scalar subquery over the same
+    aggregate, a map from each query term to its row (at most ``len(qlist)``
+    entries). Filters on the aggregate are written against its outputs so that
     they stay above it and the subquery reuses the exchange."""
     rows = postings.select(
         "term",
@@ -236,14 +229,33 @@ def _wide_tail(postings: DataFrame, qlist: list[str], search: str | None, n_docs
     qmap = qrows.agg(
         F.map_from_entries(F.collect_list(F.struct("term", F.struct("df", "sumsq", *dot_cols)))).alias("m")
     ).scalar()
-    usable = F.col("df") < n_docs
-    if search is not None:
-        usable = usable & F.when(F.col("df") > 0, F.col("term").rlike(search))
+    return agg, qmap
+
+
+def _wide_pairs(agg: DataFrame, qlist: list[str], keep, columns: list[str]) -> DataFrame:
+    """Rows of ``agg`` passing ``keep``, one per (query term, co-occurring term),
+    as ``columns`` plus the struct ``d = (query, dot)``."""
     dots = F.filter(
         F.array(*[F.struct(F.lit(q).alias("query"), F.col(f"dot{i}").alias("dot")) for i, q in enumerate(qlist)]),
         lambda d: (d["dot"] > 0) & (d["query"] != F.col("term")),
     )
-    cand = explode_terms(agg.where(usable).select("term", "sumsq", dots.alias("ds")), "ds", "d")
+    return explode_terms(agg.where(keep).select(*columns, dots.alias("ds")), "ds", "d")
+
+
+def _wide_similarities(
+    corpus: DataFrame,
+    qlist: list[str],
+    pattern: str | None,
+    length: str,
+    search: str | None,
+    n_docs,
+) -> DataFrame:
+    """``(query, term, similarity)`` from the term-keyed aggregate."""
+    agg, qmap = _wide_aggregate(_wide_postings(corpus, qlist, pattern, length), qlist)
+    usable = F.col("df") < n_docs
+    if search is not None:
+        usable = usable & F.when(F.col("df") > 0, F.col("term").rlike(search))
+    cand = _wide_pairs(agg, qlist, usable, ["term", "sumsq"])
     q = F.try_element_at(qmap, F.col("d.query"))
     return (
         cand.select(
@@ -421,7 +433,22 @@ def weight_dots(
     check_ids: bool = True,
 ) -> DataFrame:
     """``(query, term, dot)``: dot product of the TF-IDF vectors of each query
-    term and each term sharing a document with it (``sum_d w_q * w_t``)."""
+    term and each term sharing a document with it (``sum_d w_q * w_t``).
+
+    ``w = idf * tf``, so the dot product is ``idf_q * idf_t * sum_d tf_q tf_t``;
+    with a short query list all three factors come from the term-keyed
+    aggregate (no join)."""
+    qlist = _distinct_list(queries)
+    if qlist is not None and 0 < len(qlist) <= WIDE_QUERY_MAX:
+        n_docs = corpus_size(corpus, check_ids).scalar().cast("double")
+        agg, qmap = _wide_aggregate(_wide_postings(corpus, qlist, pattern, length), qlist)
+        # non-pushable always-true filter (df is an aggregate output)
+        cand = _wide_pairs(agg, qlist, F.col("df") > 0, ["term", "df"])
+        idf_t = F.ln(n_docs / F.col("df").cast("double"))
+        idf_q = F.ln(n_docs / F.try_element_at(qmap, F.col("d.query"))["df"].cast("double"))
+        return cand.select(
+            F.col("d.query").alias("query"), "term", (F.col("d.dot") * idf_q * idf_t).alias("dot")
+        )
     idfs = idf(term_frequencies(corpus, pattern, length), corpus_size(corpus, check_ids))
     idf_t = idfs.select("term", F.col("idf").alias("idf_t"))
     idf_q = idfs.select(F.col("term").alias("query"), F.col("idf").alias("idf_q"))
