@@ -98,3 +98,12 @@ def test_scan_reads_only_needed_columns(docs):
     for ln in plan.splitlines():
         if "FileScan parquet" in ln:
             assert "lang" not in ln and "source" not in ln and "n_chars" not in ln
+
+
+def test_weight_dots_for_a_list_needs_no_join(docs):
+    from termsim.operators.lookup import weight_dots
+
+    final = _final_plan(weight_dots(docs, ["the", "and"], None))
+    text_scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "text" in ln]
+    assert len(text_scans) == 1, final
+    assert "HashJoin" not in final and "SortMergeJoin" not in final, final
