@@ -54,3 +54,51 @@ def test_matrix_and_lookup_against_brute_force(spark, monkeypatch, docs):
             assert math.isclose(off_diagonal[k], round(v, 9), abs_tol=2e-9)
     ranked = similar_terms(corpus, ["hot", "a"], pattern=None, n=None).collect()
     assert {(r["query"], r["term"]) for r in ranked} == {k for k in expected if k[0] in ("hot", "a")}
+
+
+def brute_matrix_filtered(docs, pattern, length):
+    """Reference semantics with a term pattern: N counts every document, TF
+    divides by the kept length (default) or the original length."""
+    import re
+
+    rx = re.compile(pattern)
+    n = len(docs)
+    tfs = []
+    for terms in docs:
+        kept = [t for t in terms if rx.search(t)]
+        denom = len(kept) if length == "filtered" else len(terms)
+        c = Counter(kept)
+        tfs.append({t: k / denom for t, k in c.items()} if kept else {})
+    df = Counter(t for tf in tfs for t in tf)
+    w = {t: {i: tf[t] * math.log(n / df[t]) for i, tf in enumerate(tfs) if t in tf} for t in df}
+    norm = {t: math.sqrt(sum(v * v for v in w[t].values())) for t in w}
+    out = {}
+    for a in w:
+        for b in w:
+            if a != b and norm[a] > 0 and norm[b] > 0:
+                dot = sum(v * w[b][i] for i, v in w[a].items() if i in w[b])
+                if dot > 0:
+                    out[(a, b)] = dot / (norm[a] * norm[b])
+    return out
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(docs=corpora, length=st.sampled_from(["filtered", "original"]))
+def test_pattern_and_length_against_brute_force(spark, monkeypatch, docs, length):
+    monkeypatch.setattr(sim_mod, "BLOCK_TERMS", 2)
+    pattern = "^[a-dh]"
+    lines = [" ".join([f"D{i}"] + terms) for i, terms in enumerate(docs)]
+    corpus = parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    expected = brute_matrix_filtered(docs, pattern, length)
+    got = {
+        (r["term1"], r["term2"]): r["similarity"]
+        for r in similarity_matrix(corpus, pattern, length, both_orders=True).collect()
+        if r["term1"] != r["term2"]
+    }
+    assert set(got) == set(expected)
+    for k, v in expected.items():
+        assert math.isclose(got[k], round(v, 9), abs_tol=2e-9)
+    ranked = similar_terms(corpus, ["a", "hot", "e"], pattern=pattern, length=length, n=None).collect()
+    assert {(r["query"], r["term"]) for r in ranked} == {k for k in expected if k[0] in ("a", "hot", "e")}
+    for r in ranked:
+        assert math.isclose(r["similarity"], round(expected[(r["query"], r["term"])], 9), abs_tol=2e-9)
