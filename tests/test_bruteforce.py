@@ -90,15 +90,16 @@ def test_pattern_and_length_against_brute_force(spark, monkeypatch, docs, length
     lines = [" ".join([f"D{i}"] + terms) for i, terms in enumerate(docs)]
     corpus = parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
     expected = brute_matrix_filtered(docs, pattern, length)
-    got = {
-        (r["term1"], r["term2"]): r["similarity"]
-        for r in similarity_matrix(corpus, pattern, length, both_orders=True).collect()
-        if r["term1"] != r["term2"]
-    }
-    assert set(got) == set(expected)
-    for k, v in expected.items():
-        assert math.isclose(got[k], round(v, 9), abs_tol=2e-9)
-    ranked = similar_terms(corpus, ["a", "hot", "e"], pattern=pattern, length=length, n=None).collect()
-    assert {(r["query"], r["term"]) for r in ranked} == {k for k in expected if k[0] in ("a", "hot", "e")}
-    for r in ranked:
-        assert math.isclose(r["similarity"], round(expected[(r["query"], r["term"])], 9), abs_tol=2e-9)
+    for c in (corpus, to_occurrences(corpus)):
+        got = {
+            (r["term1"], r["term2"]): r["similarity"]
+            for r in similarity_matrix(c, pattern, length, both_orders=True).collect()
+            if r["term1"] != r["term2"]
+        }
+        assert set(got) == set(expected)
+        for k, v in expected.items():
+            assert math.isclose(got[k], round(v, 9), abs_tol=2e-9)
+        ranked = similar_terms(c, ["a", "hot", "e"], pattern=pattern, length=length, n=None).collect()
+        assert {(r["query"], r["term"]) for r in ranked} == {k for k in expected if k[0] in ("a", "hot", "e")}
+        for r in ranked:
+            assert math.isclose(r["similarity"], round(expected[(r["query"], r["term"])], 9), abs_tol=2e-9)
