@@ -126,3 +126,19 @@ def test_streaming_default_checkpoint_under_checkpoint_dir(spark, tmp_path):
     finally:
         q.stop()
     assert spark.read.parquet(table).count() == 4
+
+
+def test_command_line_filter_search_and_length(spark, tmp_path):
+    from termsim.plans.cli import main
+
+    p = tmp_path / "corpus2.txt"
+    p.write_text("\n".join(F1) + "\n")
+    out = tmp_path / "cli2"
+    main([str(p), "data", "I", "--filter", "^[a-zA-Z]", "--search", "^[a-z]", "--original-doc-len",
+          "--max", "3", "--out", str(out)])
+    got = sorted(map(tuple, spark.read.parquet(str(out / "ranked")).collect()))
+    from termsim.sources.corpus import read_corpus
+
+    direct = similar_terms(read_corpus(spark, str(p)), ["data", "I"], pattern="^[a-zA-Z]",
+                           length="original", search="^[a-z]", n=3)
+    assert got and got == sorted(map(tuple, direct.collect()))
