@@ -20,14 +20,17 @@ from termsim.session import local_session  # noqa: E402
 
 def executed(plan: str) -> str:
     """Drop the initial plans that adaptive subqueries also print."""
-    kept, skip = [], None
+    kept, skip, root_pending = [], None, False
     for line in plan.splitlines():
         indent = len(line) - len(line.lstrip(" :|+-"))
         if "== Initial Plan ==" in line:
-            skip = indent
+            skip, root_pending = indent, True
             continue
         if skip is not None:
-            if indent >= skip:
+            # the initial plan's root sits at the header's column, its
+            # descendants deeper; anything else ends the section
+            if (root_pending and indent == skip) or indent > skip:
+                root_pending = False
                 continue
             skip = None
         kept.append(line)
