@@ -7,10 +7,11 @@ capitals, length). Weight of a feature in a document: ``count / total count``
 times ``SCALE``, so a score is a sparse dot product that any length of text can
 have.
 
-Training is distributed: the labelled rows are dealt over ``shards`` by a hash
-of their id, each shard runs FTRL over its rows in hash order (one Python
-process, batch after batch), and the shards' weights are averaged. All labelled
-rows take part. What reaches the driver is one weight vector per shard
+Training takes a bounded sample of the labelled rows, ``SAMPLE`` rows with the
+smallest id hashes (their ids and labels are the only thing that is broadcast).
+The sample is dealt over ``shards`` by the hash, each shard runs FTRL over its
+rows in hash order (one Python process, batch after batch), and the shards'
+weights are averaged. What reaches the driver is one weight vector per shard
 (``shards`` x ``2^bits`` floats, 16 MB by default, whatever the input).
 
 Defined cases: NULL or empty text has no features and scores by the bias alone;
@@ -40,6 +41,8 @@ from termsim.llm.words import (
     word_hashes,
 )
 
+#: Bound of the training sample, in rows.
+SAMPLE = 20_000
 BITS = 18
 SHARDS = 16
 SCALE = 64.0
@@ -165,11 +168,15 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "
     return given.mapInArrow(run, schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0) -> np.ndarray:
-    """Learn from the labelled rows outside the held-out fold."""
-    known = labels.where(F.col("doc_id").isNotNull() & (id_remainder(F.col("doc_id"), folds) != held_out))
-    known = known.select(F.col("doc_id"), F.col(label).alias("label"))
-    return train(docs.select("doc_id", "text").join(known, "doc_id"))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held_out: int = 0,
+        sample: int = SAMPLE) -> np.ndarray:
+    """Learn from ``sample`` labelled rows outside the held-out fold."""
+    known = labels.where(
+        F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (id_remainder(F.col("doc_id"), folds) != held_out)
+    ).select(F.col("doc_id"), F.col(label).alias("label"))
+    # (id, label) pairs of a fixed number: small enough to go to every executor
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
+    return train(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
 
 THRESHOLD = 0.3
