@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from termsim.llm.chat_format import OP7_SQL, op7_chat_format
+from termsim.llm.decontaminate import op5_decontaminate
 from termsim.llm.near_dedup import op1_near_dedup
 from termsim.llm.quality_classifier import op10_quality_classifier
 
 QUERIES = {
+    "op5_decontaminate": op5_decontaminate,
     "op1_near_dedup": op1_near_dedup,
     "op7_chat_format": op7_chat_format,
     "op10_quality_classifier": op10_quality_classifier,
