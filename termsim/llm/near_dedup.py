@@ -13,10 +13,13 @@ Method
    Pairs whose Jaccard estimate from the union's bottom-k sketch is far below the
    threshold go; the others are verified on the full shingle sets. Verified links
    give components.
-4. Lists that still hold several components: the members outside a list's largest
-   component are paired with all members of other components, filtered and
-   verified alike. So no link between components stays untested, while a large
-   group of near copies costs pairs in proportion to its size.
+4. Members of lists that still hold several components are compared on their
+   full sets, by an exact prefix filter: a set must share ``percent`` of its
+   shingles with a partner, so it meets partners in the lists of its rarest
+   ``n - ceil(percent n) + 1`` shingles; shingles of one member alone count
+   against both sides of a pair, which ends most pairs of a large group of loose
+   copies before they are formed. Each pair of different components comes up
+   once, then is filtered and verified like those of the star.
 
 Exactness: the verification is exact (up to 64-bit hash equality). Both bounds
 on sketches are more than seven standard deviations of a bottom-k estimate wide
@@ -40,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termsim.llm.components import components
@@ -117,10 +120,53 @@ def list_members(classes: DataFrame, fraction: float) -> DataFrame:
     per = hits.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("hits"))
     least = F.greatest(F.lit(1), F.floor(F.least(F.col("n"), F.lit(K)) * fraction).cast("int"))
     need = F.size("hits") - least + 1  # values of one member only come before all others
-    prefix = per.where(need > 0).select("id", "n", F.explode(F.slice("hits", F.lit(1), need)).alias("h"))
+    prefix = per.where(need > 0).select("id", "n", F.explode(F.slice("hits", F.lit(1), F.greatest(need, F.lit(0)))).alias("h"))
     return prefix.select(F.col("h.v").alias("v"), "id", "n")
 
 
+def _set_batches(n: int):
+    def run(batches):
+        for batch in batches:
+            sets = [x.view(np.int64) for x in shingle_sets(batch, "text", n)]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+            values = pa.array(np.concatenate([np.zeros(0, np.int64), *sets]), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["id", "s"])
+
+    return run
+
+
+def cross_pairs(texts: DataFrame, label: DataFrame, percent: int, n: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components ``label(id, c)`` that the exact
+    prefix filter on full sets leaves."""
+    sets = texts.join(label.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_set_batches(n), "id long, s array<bigint>")
+    sets = written(sets.select("id", F.size("s").alias("n"), "s"), "full-sets")
+    values = sets.select("id", "n", F.explode("s").alias("v"))
+    shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    per = values.join(shared, "v").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("hits"))
+    alone = F.col("n") - F.size("hits")
+    length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1 - alone
+    member = (
+        per.where(length > 0)
+        .select("id", "n", alone.alias("alone"), F.transform(F.slice("hits", F.lit(1), F.greatest(length, F.lit(0))), lambda h: h["v"]).alias("prefix"))
+        .join(label, "id")
+    )
+    lists = written(member.select(F.explode("prefix").alias("v"), "id", "n", "alone", "c", "prefix"), "full-lists")
+    # the members outside a list's largest component meet all others
+    sizes = lists.groupBy("v", "c").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("v").agg(F.max(F.struct("size", "c"))["c"].alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    other = lists.join(largest.select("v", "major"), "v")
+    minor = other.where("c != major").select(*[F.col(x).alias(x + "_") for x in ("v", "id", "n", "alone", "c", "prefix")])
+    most = F.least(F.col("n") - F.col("alone"), F.col("n_") - F.col("alone_"))
+    within = (
+        (F.col("c") != F.col("c_"))
+        & ((F.col("c") == F.col("major")) | (F.col("id_") < F.col("id")))  # two minor members: once
+        & (100 * most >= percent * (F.col("n") + F.col("n_") - most))
+        & (F.get(F.array_intersect("prefix", "prefix_"), F.lit(0)) == F.col("v"))  # in their first common list
+    )
+    met = minor.join(other, (F.col("v") == F.col("v_")) & within)
+    return met.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b"))
+
+
 def _similar_sketches(pairs: DataFrame, classes: DataFrame, least: float, k: int) -> DataFrame:
     """Pairs ``(a, b)`` whose union-sketch estimate is at least ``least``."""
     side = classes.select(F.col("id"), F.col("sketch"))
@@ -208,17 +254,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = SHINGLE, k
 
     # lists that still hold several components
     label = members.join(found.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left")
-    label = label.select("v", "id", "n", F.coalesce("component", "id").alias("c"))
+    label = label.select("v", "id", F.coalesce("component", "id").alias("c"))
     mixed = label.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("v")
-    label = written(label.join(mixed, "v", "left_semi"), "mixed-lists")
-    sizes = label.groupBy("v", "c").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("v").agg(F.max(F.struct("size", "c"))["c"].alias("major"))
-    minor = label.join(largest, "v").where("c != major").select("v", F.col("id").alias("a"), F.col("n").alias("m"), F.col("c").alias("ca"))
-    rest = (
-        minor.join(label, "v").where((F.col("c") != F.col("ca")) & fits)
-        .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        .join(star.select("a", "b").distinct(), ["a", "b"], "left_anti")
-    )
+    label = written(label.join(mixed, "v", "left_semi").select("id", "c").distinct(), "mixed-members")
+    rest = cross_pairs(texts, label, percent, n).join(star.select("a", "b").distinct(), ["a", "b"], "left_anti")
     all_links = first.union(links(rest))
     found = components(all_links)
 
