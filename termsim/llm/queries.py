@@ -6,9 +6,11 @@ from termsim.llm.chat_format import OP7_SQL, op7_chat_format
 from termsim.llm.decontaminate import op5_decontaminate
 from termsim.llm.near_dedup import op1_near_dedup
 from termsim.llm.quality_classifier import op10_quality_classifier
+from termsim.llm.source_mixing import op2_source_mixing
 from termsim.llm.token_store import op9_token_store
 
 QUERIES = {
+    "op2_source_mixing": op2_source_mixing,
     "op9_token_store": op9_token_store,
     "op5_decontaminate": op5_decontaminate,
     "op1_near_dedup": op1_near_dedup,
