@@ -7,9 +7,11 @@ from termsim.llm.decontaminate import op5_decontaminate
 from termsim.llm.near_dedup import op1_near_dedup
 from termsim.llm.quality_classifier import op10_quality_classifier
 from termsim.llm.source_mixing import op2_source_mixing
+from termsim.llm.substring_dedup import op4_substring_dedup
 from termsim.llm.token_store import op9_token_store
 
 QUERIES = {
+    "op4_substring_dedup": op4_substring_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op9_token_store": op9_token_store,
     "op5_decontaminate": op5_decontaminate,
