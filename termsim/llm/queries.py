@@ -9,8 +9,10 @@ from termsim.llm.quality_classifier import op10_quality_classifier
 from termsim.llm.source_mixing import op2_source_mixing
 from termsim.llm.substring_dedup import op4_substring_dedup
 from termsim.llm.token_store import op9_token_store
+from termsim.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op9_token_store": op9_token_store,
