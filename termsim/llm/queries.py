@@ -5,6 +5,7 @@ from __future__ import annotations
 from termsim.llm.chat_format import OP7_SQL, op7_chat_format
 from termsim.llm.decontaminate import op5_decontaminate
 from termsim.llm.near_dedup import op1_near_dedup
+from termsim.llm.order_fingerprint import op6_order_fingerprint
 from termsim.llm.quality_classifier import op10_quality_classifier
 from termsim.llm.source_mixing import op2_source_mixing
 from termsim.llm.substring_dedup import op4_substring_dedup
@@ -12,6 +13,7 @@ from termsim.llm.token_store import op9_token_store
 from termsim.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op6_order_fingerprint": op6_order_fingerprint,
     "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
     "op2_source_mixing": op2_source_mixing,
