@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from termsim.llm.chat_format import OP7_SQL, op7_chat_format
 from termsim.llm.decontaminate import op5_decontaminate
+from termsim.llm.html_extract import op8_html_extract
 from termsim.llm.near_dedup import op1_near_dedup
 from termsim.llm.order_fingerprint import op6_order_fingerprint
 from termsim.llm.quality_classifier import op10_quality_classifier
@@ -13,6 +14,7 @@ from termsim.llm.token_store import op9_token_store
 from termsim.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op8_html_extract": op8_html_extract,
     "op6_order_fingerprint": op6_order_fingerprint,
     "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
