@@ -127,13 +127,13 @@ def blocks(page: str) -> list[Block]:
         if page[m.start() + 1] == "/":
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    if name not in INLINE and name not in UNSEEN:
+                    if name not in INLINE and name not in UNSEEN and not silent:
                         close()
                     silent -= sum(x[0] in SILENT or "\x00" in x[1] for x in stack[k:])
                     del stack[k:]
                     break
             continue
-        if name not in INLINE and name not in UNSEEN:
+        if name not in INLINE and name not in UNSEEN and not silent:
             close()
             before = len(stack)
             _implied_end(stack, name)

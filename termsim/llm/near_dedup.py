@@ -272,3 +272,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = SHINGLE, k
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP1_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))) END AS s
+  FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+    AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {PERCENT} GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared WHERE 100 * k >= {PERCENT} * (n + m - k)),
+ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, ways.v FROM reach JOIN ways ON reach.r = ways.u),
+least_of AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least_of USING (doc_id)"""

@@ -5,28 +5,30 @@ from __future__ import annotations
 from termsim.llm.chat_format import OP7_SQL, op7_chat_format
 from termsim.llm.decontaminate import op5_decontaminate
 from termsim.llm.html_extract import op8_html_extract
-from termsim.llm.near_dedup import op1_near_dedup
+from termsim.llm.near_dedup import OP1_SQL, op1_near_dedup
 from termsim.llm.order_fingerprint import op6_order_fingerprint
 from termsim.llm.quality_classifier import op10_quality_classifier
 from termsim.llm.source_mixing import op2_source_mixing
-from termsim.llm.substring_dedup import op4_substring_dedup
+from termsim.llm.substring_dedup import OP4_SQL, op4_substring_dedup
 from termsim.llm.token_store import op9_token_store
 from termsim.llm.toxicity import op3_toxicity
 
 QUERIES = {
-    "op8_html_extract": op8_html_extract,
-    "op6_order_fingerprint": op6_order_fingerprint,
+    "op1_near_dedup": op1_near_dedup,
+    "op2_source_mixing": op2_source_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
-    "op2_source_mixing": op2_source_mixing,
-    "op9_token_store": op9_token_store,
     "op5_decontaminate": op5_decontaminate,
-    "op1_near_dedup": op1_near_dedup,
+    "op6_order_fingerprint": op6_order_fingerprint,
     "op7_chat_format": op7_chat_format,
+    "op8_html_extract": op8_html_extract,
+    "op9_token_store": op9_token_store,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
 #: DuckDB SQL by query; a query without an entry is tested against brute force.
 ORACLE_SQL: dict[str, str] = {
+    "op1_near_dedup": OP1_SQL,
+    "op4_substring_dedup": OP4_SQL,
     "op7_chat_format": OP7_SQL,
 }

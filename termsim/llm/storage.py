@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the
-    session, else the checkpoint folder the caller has set (tests)."""
+    session, else the checkpoint folder the caller has set. Only where both are
+    unset and the whole session is one local process, a scratch folder is made."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
+    if folder:
+        return folder
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -347,3 +347,19 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, g
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
     found = substring_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP4_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+starts AS (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS s FROM texts WHERE len(w) >= {WINDOW}),
+windows AS (SELECT rid, s, array_to_string(w[s:s + {WINDOW - 1}], ' ') AS k FROM starts),
+repeats AS (SELECT rid, s FROM (SELECT rid, s, count(*) OVER (PARTITION BY k) AS c FROM windows) WHERE c > 1),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+judged AS (
+  SELECT words.rid, i, word, max(s) OVER (PARTITION BY words.rid ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM words LEFT JOIN repeats ON words.rid = repeats.rid AND i = s),
+per AS (SELECT rid, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM judged GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN per USING (rid)"""
