@@ -20,13 +20,14 @@ from termsim.llm.storage import table, written
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents scored under the threshold go."""
     weights = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality_classifier.score(docs, weights, out="_quality")
-    return scored.where(F.col("_quality") >= quality_classifier.THRESHOLD).select(*docs.columns)
+    name = "_quality" + "_" * max(len(c) for c in docs.columns)  # no column of the input
+    scored = quality_classifier.score(docs, weights, out=name)
+    return scored.where(F.col(name) >= quality_classifier.THRESHOLD).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: of each group the document with the smallest id stays
-    (one row of it)."""
+    (rows of one id are one document; rows without an id stay)."""
     groups = near_dedup.near_duplicates(docs)
     dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

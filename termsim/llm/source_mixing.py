@@ -91,7 +91,7 @@ def _with_posteriors(df: DataFrame, priors: list, likelihoods: list, steps: str
     scores = []
     for prior, row in zip(priors, likelihoods, strict=True):
         # one constant array; the place of feature j in step b is j * BINS + b
-        values = "array(" + ", ".join(f"{x:.9f}D" for x in row) + ")"
+        values = "cast(split('" + ",".join(f"{x:.9f}" for x in row) + "', ',') as array<double>)"
         found = f"aggregate(_at, 0D, (a, i) -> a + get({values}, i))"
         scores.append(f"{found} / {TEMPERATURE}D + ({prior:.9f}D)")
     return (
@@ -203,13 +203,14 @@ def apply_rates(docs: DataFrame, mixture: Mixture) -> DataFrame:
     """``docs`` mixed: each row ``floor(rate)`` times and once more with the
     remaining probability, drawn by a hash of id and text (the same in every run).
     Reads the texts once, without a join or shuffle."""
-    names = docs.columns
-    with_p = mixture.with_posteriors(_with_features(docs), "_p")
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    with_p = mixture.with_posteriors(_with_features(rows), "_p")
     with_r = with_p.withColumn("_r", mixture.of_posteriors(F.col("_p")))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = (F.floor("_r") + (draw < F.col("_r") - F.floor("_r")).cast("int")).cast("int")
-    some = with_r.withColumn("_c", copies).where("_c > 0")
-    return some.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_c")))).select(*names)
+    # the row id is there to keep the optimizer from copying the whole chain of
+    # expressions into a filter on the number of copies
+    copies = F.floor(F.col("_r") + draw).cast("int") + F.monotonically_increasing_id().cast("int") * 0
+    return with_r.withColumn("_c", copies).withColumn("_i", F.explode(F.expr("array_repeat(0, _c)"))).select("_row.*")
 
 
 #: The production mixture: domains are the languages, and English gives way.
