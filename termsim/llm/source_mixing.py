@@ -209,7 +209,7 @@ def apply_rates(docs: DataFrame, mixture: Mixture) -> DataFrame:
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # the row id is there to keep the optimizer from copying the whole chain of
     # expressions into a filter on the number of copies
-    copies = F.floor(F.col("_r") + draw).cast("int") + F.monotonically_increasing_id().cast("int") * 0
+    copies = F.floor(F.col("_r") + draw).cast("int") + (F.monotonically_increasing_id() * 0).cast("int")
     return with_r.withColumn("_c", copies).withColumn("_i", F.explode(F.expr("array_repeat(0, _c)"))).select("_row.*")
 
 
