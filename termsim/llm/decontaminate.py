@@ -63,7 +63,7 @@ _table: dict[str, np.ndarray] = {}
 
 def _powers(n: int):
     if len(_table.get("up", ())) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 19)
         for key, base in (("up", _B), ("down", _BI)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1

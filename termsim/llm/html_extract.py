@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termsim.llm.storage import table
+from termsim.llm.storage import smallest, table
 
 SAMPLE = 256
 SAMPLE_CHARS = 20_000
@@ -439,8 +439,8 @@ def training_pages(sample: list[str], variants: int = VARIANTS, seed: int = 11):
 def fit(pages: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray] | None:
     """The labeller, learnt from a bounded sample of pages of up to ``SAMPLE_CHARS``."""
     size = F.char_length("html")
-    rows = pages.where((size > 0) & (size <= SAMPLE_CHARS)).select("html", F.xxhash64("html").alias("h"))
-    chosen = [r["html"] for r in rows.orderBy("h").limit(sample).collect()]
+    rows = pages.where((size > 0) & (size <= SAMPLE_CHARS)).select("html")
+    chosen = [r["html"] for r in smallest(rows, F.xxhash64("html"), sample, "html").collect()]
     x, y = training_pages(chosen)
     return train(x, y) if x else None
 

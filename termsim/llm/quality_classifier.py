@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termsim.llm.storage import id_remainder, table
+from termsim.llm.storage import id_remainder, smallest, table
 from termsim.llm.words import (
     CHUNK_BYTES,
     chunks,
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
         F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (id_remainder(F.col("doc_id"), folds) != held_out)
     ).select(F.col("doc_id"), F.col(label).alias("label"))
     # (id, label) pairs of a fixed number: small enough to go to every executor
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
+    chosen = smallest(known, F.xxhash64("doc_id"), sample, "doc_id", "label")
     return train(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
 

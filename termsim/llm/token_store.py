@@ -56,7 +56,7 @@ SHARD_IDS = 4 << 20
 LOW = np.uint64(1 << 31)
 END_ID = 0
 #: Entries of the table of pieces that a task keeps.
-PIECES = 600_000
+PIECES = 400_000
 #: Stands before a piece that no space precedes (texts that hold it go whole).
 _MARK = "\x01"
 _STOPS = (_MARK + ",", _MARK + ".")

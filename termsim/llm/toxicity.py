@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termsim.llm.storage import id_remainder, table
+from termsim.llm.storage import id_remainder, smallest, table
 from termsim.llm.words import chunks, text_buffers, token_spans, word_hashes
 
 #: Bound of the examples of each class, in rows.
@@ -80,7 +80,7 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_ou
         F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (id_remainder(F.col("doc_id"), folds) != held_out)
     ).select("doc_id", F.col(label).cast("int").alias("label"))
     share = known.agg(F.avg("label")).first()[0]
-    of_class = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound) for c in (0, 1)]
+    of_class = [smallest(known.where(F.col("label") == c), F.xxhash64("doc_id"), bound, "doc_id") for c in (0, 1)]
     chosen = F.broadcast(of_class[0].union(of_class[1]))  # (id, label) pairs of a fixed number
     rows = (
         docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text")

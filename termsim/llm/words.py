@@ -21,7 +21,7 @@ _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Texts of one batch are taken together up to this many bytes at a time (a
 #: longer text is taken alone), which bounds the memory of a task.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 
 def mix(x: np.ndarray) -> np.ndarray:

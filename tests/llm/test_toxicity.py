@@ -79,8 +79,8 @@ def test_defined_cases(spark):
     docs = spark.createDataFrame([(1, None), (1, None), (None, ""), (2, "a b"), (3, "x " * 30_000)], "doc_id long, text string")
     labels = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int")
     assert {r["score"] for r in tx.score(docs, tx.fit(docs, labels([]))).collect()} == {0.5}
-    one = tx.score(docs, tx.fit(docs, labels([(3, 0), (2, None), (None, 1)]))).collect()
+    one = tx.score(docs, tx.fit(docs, labels([(1, 0), (2, 0), (3, 0), (4, None), (None, 1)]))).collect()
     assert len(one) == 5 and {r["score"] for r in one} == {0.0}
-    both = tx.score(docs, tx.fit(docs, labels([(3, 0), (2, 1), (5, 1), (1, 0)]))).collect()
+    both = tx.score(docs, tx.fit(docs, labels([(3, 0), (2, 1), (5, 1), (1, 0), (6, 1), (7, 0)]))).collect()
     assert len(both) == 5 and all(0 <= r["score"] <= 1 for r in both)
     assert tx.score(docs.limit(0), tx.fit(docs, labels([(3, 0), (2, 1)]))).collect() == []
