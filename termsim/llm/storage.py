@@ -51,6 +51,6 @@ def smallest(df: DataFrame, by: Column, n: int, *ties: str) -> DataFrame:
     keyed = df.withColumn("_hash", by)
     total = df.count()
     if total > 4 * n:
-        border = -(1 << 63) + int((1 << 64) * (2 * n + 100) / total)
+        border = min((1 << 63) - 1, -(1 << 63) + int((1 << 64) * (2 * n + 100) / total))
         keyed = keyed.where(F.col("_hash") < F.lit(border))
     return keyed.orderBy("_hash", *ties).limit(n).drop("_hash")
