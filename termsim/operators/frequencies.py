@@ -42,11 +42,13 @@ def document_vectors(
     _check_length(length)
     if corpus_shape(corpus) != DOCUMENT_ROWS:
         raise ValueError("document_vectors needs document rows (doc_id, terms)")
+    # a NULL entry is no term (as in occurrence rows); tokenized text has none
+    terms = F.array_compact("terms") if corpus.schema["terms"].dataType.containsNull else F.col("terms")
     sorted_docs = corpus.select(
         "doc_id",
-        F.size("terms").cast("bigint").alias("orig_len"),
-        # native ordering (binary string order); tokens are never NULL
-        F.sort_array("terms").alias("_sorted"),
+        F.size(terms).cast("bigint").alias("orig_len"),
+        # native ordering (binary string order)
+        F.sort_array(terms).alias("_sorted"),
     )
     with_starts = sorted_docs.select("doc_id", "orig_len", "_sorted", run_starts("_sorted").alias("_starts"))
     counted = with_starts.select(

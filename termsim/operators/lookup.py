@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termsim.functions.text import DEFAULT_PATTERN
@@ -41,9 +41,13 @@ from termsim.sources.corpus import DOCUMENT_ROWS, corpus_shape
 QueryInput = Sequence[str] | DataFrame
 
 # Up to this n the top-n runs as a window with a per-partition group limit
-# (Catalyst's WindowGroupLimit); beyond it, and for n=None, ranks come from a
-# range-partitioned sort so that no query's result list sits in one task.
+# (Catalyst's WindowGroupLimit); beyond it, and for n=None, a query's rows are
+# ranked in pieces so that no query's result list sits in one task.
 WINDOW_TOP_N_MAX = 1000
+RANK_STEPS = 64
+
+# Query lists up to this many terms are a small side by their number.
+SMALL_QUERY_LIST = 1000
 
 # Up to this many query terms (a driver-side list) the lookup aggregates by
 # term only, with one dot-product column per query term; beyond it, by
@@ -113,9 +117,10 @@ def _one_pass_sums(
     one scan and one partial aggregate.
 
     Each entry ``e`` of a document emits a statistics row ``('', e.term,
-    tf_e^2)`` and one pair row ``(h.term, e.term, tf_h * tf_e)`` per query term
-    ``h`` of the same document. Tokens are never empty, so ``''`` marks the
-    statistics rows; the column is non-nullable, so joins on it infer no
+    tf_e^2)`` and one pair row ``('=' + h.term, e.term, tf_h * tf_e)`` per query
+    term ``h`` of the same document. The ``=`` tells the pair rows of any query
+    term, the empty one too, from the statistics rows (it is taken
+    off again); the column is non-nullable, so joins on it infer no
     not-null filter that would be pushed into one branch only (every branch
     must stay identical to share the exchange).
 
@@ -137,7 +142,7 @@ def _one_pass_sums(
     )
     pair_rows = F.transform(
         F.filter("hits", lambda h: h["term"] != F.col("term")),
-        lambda h: F.struct(h["term"].alias("query"), ((h["n"] / F.col("lenf")) * F.col("tf")).alias("x")),
+        lambda h: F.struct(F.concat(F.lit("="), h["term"]).alias("query"), ((h["n"] / F.col("lenf")) * F.col("tf")).alias("x")),
     )
     rows = explode_terms(
         entries.select("term", F.concat(stat_row, pair_rows).alias("rows")), "rows", "r"
@@ -295,7 +300,7 @@ def query_similarities(
         )
         keep = is_pair if search is None else F.when(is_pair, F.col("term").rlike(search)).otherwise(F.lit(False))
         dots = sums.where(keep).select(
-            "query", "term", F.col("total").alias("dot"), F.col("cnt").alias("co_docs")
+            F.expr("substring(query, 2)").alias("query"), "term", F.col("total").alias("dot"), F.col("cnt").alias("co_docs")
         )
     else:
         tf = term_frequencies(corpus, pattern, length)
@@ -312,8 +317,8 @@ def query_similarities(
             dots = dots.where(F.col("term").rlike(search))
     stats = stats.where(F.col("df") < n_docs)
     qstats = qstats.where(F.col("df_q") < n_docs)
-    if qlist is not None:
-        # at most one row per distinct query term of a driver-side list
+    if qlist is not None and len(qlist) <= SMALL_QUERY_LIST:
+        # at most one row per distinct query term, so at most that many rows
         qstats = F.broadcast(qstats)
     return (
         dots.join(stats, "term")
@@ -357,35 +362,29 @@ def rank_terms(scored: DataFrame, n: int | None = 5) -> DataFrame:
 def rank_all(s: DataFrame) -> DataFrame:
     """Rank every row within its query without gathering a query in one task.
 
-    Rows are range-partitioned and sorted by (query, similarity desc, term);
-    within a partition a row's position comes from
-    ``monotonically_increasing_id`` (consecutive inside a partition). A small
-    aggregate per (query, partition) gives the first position and the row
-    count; a running sum over partitions gives each piece's offset. Both
-    branches read the same range exchange, so positions agree.
+    A query's rows are cut into pieces by the similarity itself (steps of its
+    logarithm, so that the many small similarities spread over many pieces).
+    The piece of a row depends on the row's values alone, and pieces follow each
+    other in rank order. A row's rank is its place within its piece plus the
+    number of rows in the pieces before, which one small aggregate gives.
     """
-    parts = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("query"), F.col("similarity").desc(), F.col("term")]
-    laid = (
-        s.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row"))
-    )
-    pieces = laid.groupBy("query", "_part").agg(
-        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_cnt")
-    )
-    before = Window.partitionBy("query").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        "query", "_part", "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before")
-    )
-    return laid.join(offsets, ["query", "_part"]).select(
-        "query",
-        (F.col("_before") + F.col("_row") - F.col("_first") + 1).cast("int").alias("rank"),
-        "term",
-        "similarity",
+    cut = s.select("query", "term", "similarity", _piece(F.col("similarity")).alias("_piece"))
+    counts = cut.groupBy("query", "_piece").agg(F.count(F.lit(1)).alias("_count"))
+    before = Window.partitionBy("query").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("query", "_piece", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("query", "_piece").orderBy(F.col("similarity").desc(), F.col("term"))
+    placed = cut.select("query", "_piece", "term", "similarity", F.row_number().over(inside).alias("_place"))
+    return placed.join(offsets, ["query", "_piece"]).select(
+        "query", (F.col("_before") + F.col("_place")).cast("int").alias("rank"), "term", "similarity"
     )
 
 
+def _piece(similarity: Column) -> Column:
+    """Pieces of a ranking: ``RANK_STEPS`` per halving of the similarity."""
+    step = F.floor(-F.log2(similarity) * F.lit(RANK_STEPS)).cast("int")
+    return F.coalesce(F.when(similarity > 0, step), F.lit(1 << 30))
+
+
 # --------------------------------------------------------------------------
 # user-facing lookups (O26, O30, O31)
 # --------------------------------------------------------------------------
@@ -467,12 +466,19 @@ def cosine_pairs(
     length: str = "filtered",
     check_ids: bool = True,
 ) -> DataFrame:
-    """``(term1, term2, similarity)`` for given term pairs; 0.0 when the two
-    terms share no document (or a term is unknown or has norm 0)."""
+    """``(term1, term2, similarity)`` for given term pairs: 1.0 for a term and
+    itself, 0.0 for terms that share no document, NULL when a term is unknown or
+    its vector has norm 0 (the cosine is not defined there)."""
     firsts = pairs.select(F.col("term1").alias("query"))
     sims = query_similarities(corpus, firsts, pattern, length, None, check_ids).select(
         F.col("query").alias("term1"), F.col("term").alias("term2"), "similarity"
     )
-    return pairs.select("term1", "term2").join(sims, ["term1", "term2"], "left").select(
-        "term1", "term2", rounded(F.coalesce(F.col("similarity"), F.lit(0.0))).alias("similarity")
-    )
+    asked = pairs.select(F.col("term1").alias("term")).union(pairs.select("term2")).distinct()
+    n_docs = corpus_size(corpus, check_ids).scalar()
+    stats = term_stats(term_frequencies(corpus, pattern, length)).where(F.col("df") < n_docs)
+    usable = asked.join(stats, "term", "left_semi")
+    one = usable.select(F.col("term").alias("term1"), F.lit(True).alias("_known1"))
+    two = usable.select(F.col("term").alias("term2"), F.lit(True).alias("_known2"))
+    rows = pairs.select("term1", "term2").join(sims, ["term1", "term2"], "left").join(one, "term1", "left").join(two, "term2", "left")
+    cosine = F.when(F.col("_known1") & F.col("_known2"), F.when(F.col("term1") == F.col("term2"), F.lit(1.0)).otherwise(F.coalesce("similarity", F.lit(0.0))))
+    return rows.select("term1", "term2", rounded(cosine).alias("similarity"))

@@ -17,8 +17,8 @@ For document rows the co-occurring pairs of a document are built inside its
 row (no shuffle of postings). A document with more than ``BLOCK_TERMS``
 distinct terms is cut into blocks of sorted terms and its block pairs are
 spread over tasks, so one huge document does not land on one task. For
-occurrence rows the pairs come from a join on ``doc_id``; adaptive execution
-splits a skewed document there. The diagonal pairs (t, t) give each term's
+occurrence rows the pairs come from a join on ``doc_id`` and a block pair, by
+which a large document is cut up in the same way. The diagonal pairs (t, t) give each term's
 document frequency and squared TF norm out of the same aggregate.
 """
 
@@ -123,10 +123,19 @@ def _document_pair_products(corpus: DataFrame, pattern: str | None, length: str)
 
 
 def _occurrence_pair_products(tf: DataFrame) -> DataFrame:
-    a = tf.select("doc_id", F.col("term").alias("term1"), F.col("tf").alias("tf1"))
-    b = tf.select("doc_id", F.col("term").alias("term2"), F.col("tf").alias("tf2"))
+    """Pairs by a join on the document, cut into block pairs: the terms of a
+    document longer than ``BLOCK_TERMS`` are dealt over blocks by hash, the left
+    side goes to every pair (own block, any block), the right side to every pair
+    (any block, own block), and the join key is (document, block pair). So the
+    pairs of one huge document spread over as many tasks as it has block pairs;
+    documents of one block take part once."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("len") / F.lit(BLOCK_TERMS))).cast("int")
+    own = F.pmod(F.xxhash64("term"), blocks).cast("int")
+    cut = tf.select("doc_id", "term", "tf", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    a = cut.select("doc_id", F.col("own").alias("i"), F.col("other").alias("j"), F.col("term").alias("term1"), F.col("tf").alias("tf1"))
+    b = cut.select("doc_id", F.col("other").alias("i"), F.col("own").alias("j"), F.col("term").alias("term2"), F.col("tf").alias("tf2"))
     return (
-        a.join(b, "doc_id")
+        a.join(b, ["doc_id", "i", "j"])
         .where(F.col("term1") <= F.col("term2"))
         .select("term1", "term2", (F.col("tf1") * F.col("tf2")).alias("prod"))
     )
@@ -213,13 +222,13 @@ def similarity_matrix(
     )
     out = cells
     if both_orders:
-        mirrored = cells.select(
-            F.col("term2").alias("term1"), F.col("term1").alias("term2"), "similarity"
-        )
+        # both orders from the one row, so that its joins run once
+        both = F.array(F.struct("term1", "term2"), F.struct(F.col("term2").alias("term1"), F.col("term1").alias("term2")))
+        cells = cells.select(F.explode(both).alias("p"), "similarity").select("p.term1", "p.term2", "similarity")
         diagonal = terms.select(
             F.col("term").alias("term1"), F.col("term").alias("term2"), F.lit(1.0).alias("similarity")
         )
-        out = cells.unionByName(mirrored).unionByName(diagonal)
+        out = cells.unionByName(diagonal)
     return out.select("term1", "term2", rounded(F.col("similarity")).alias("similarity"))
 
 

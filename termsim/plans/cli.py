@@ -10,10 +10,14 @@ Writes ``DIR/ranked`` (parquet), ``DIR/report`` (text) and with ``--table``
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
+if not __package__:  # run as a script: its own folder is on the path, not the package's
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from termsim.functions.text import DEFAULT_PATTERN
 from termsim.plans.jobs import lookup_job, matrix_job, write_lookup, write_matrix
 from termsim.sources.corpus import read_corpus

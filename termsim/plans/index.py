@@ -13,8 +13,10 @@ against them. Here the reusable part is written once as parquet:
   the same bucket, so the join of the query postings with the vectors gets
   dynamic partition pruning: only buckets holding a query term's documents
   are read;
-* ``stats``: ``(term, df, sumsq)``; ``meta``: one row with ``n_docs`` and the
-  settings the index was built with.
+* ``stats``: ``(term, df, sumsq)``.
+
+``current`` holds one row: the folder of the latest whole build, the corpus shape,
+``n_docs`` and the settings.
 
 A lookup then reads the query terms' postings, the vectors of the documents
 holding them (a join on ``doc_id``; adaptive execution broadcasts the query
@@ -25,7 +27,8 @@ it never tokenizes the corpus or aggregates all postings again. Results equal
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ from termsim.operators.frequencies import (
     explode_terms,
     term_frequencies,
 )
-from termsim.operators.lookup import QueryInput, rank_terms
+from termsim.operators.lookup import SMALL_QUERY_LIST, QueryInput, rank_terms
 from termsim.operators.weights import term_stats
 from termsim.sources.corpus import DOCUMENT_ROWS, corpus_shape
 
@@ -52,23 +55,38 @@ def build_index(
 ) -> None:
     """Write the index of ``corpus`` under ``path`` (runs the jobs).
 
+    Each build goes to a fresh folder under ``path``; ``path/current`` is written
+    last and names that folder and the corpus shape, so lookups see a whole build
+    or the one before, and never parts of two. ``mode``: ``error`` (an index is
+    there already) or ``overwrite`` (the new build takes its place).
+
     ``buckets`` sets the pruning grain of the vectors: a lookup reads the
     buckets that hold at least one document of a query term; size it so a
     bucket is a small fraction of the corpus (more for larger corpora)."""
-    if corpus_shape(corpus) == DOCUMENT_ROWS:
+    if mode not in ("error", "overwrite"):
+        raise ValueError(f"mode must be 'error' or 'overwrite', not {mode!r}")
+    spark = corpus.sparkSession
+    if mode == "error":
+        # fails here, before any work, when the pointer is there
+        spark.createDataFrame([], POINTER).write.mode("error").parquet(f"{path}/current")
+    # repeated ids are found before anything is written
+    n_docs = corpus_size(corpus, check_ids).first()["n_docs"]
+    version = uuid.uuid4().hex[:8]  # a folder that exists already fails the write
+    base = f"{path}/{version}"
+    shape = corpus_shape(corpus)
+    if shape == DOCUMENT_ROWS:
         vec = document_vectors(corpus, pattern, length)
         (
             vec.select("doc_id", "len", "terms", _bucket(buckets))
             # contiguous (bucket, doc_id) ranges: each writer holds one or two
             # bucket folders, and a large bucket is spread over several writers
             .repartitionByRange("bucket", "doc_id")
-            .write.mode(mode)
-            .partitionBy("bucket")
-            .parquet(f"{path}/vectors")
+            .write.partitionBy("bucket")
+            .parquet(f"{base}/vectors")
         )
         # postings and statistics come from the written vectors: the corpus is
         # tokenized once, and later jobs start from files, not from the scan
-        written = corpus.sparkSession.read.parquet(f"{path}/vectors")
+        written = spark.read.schema(_vector_schema(vec)).parquet(f"{base}/vectors")
         tf = explode_terms(written, "terms", "e").select(
             "doc_id",
             F.col("e.term").alias("term"),
@@ -81,26 +99,22 @@ def build_index(
         tf.select("term", "doc_id", "tf", "bucket")
         .repartitionByRange("term", "doc_id")
         .sortWithinPartitions("term", "doc_id")
-        .write.mode(mode)
-        .parquet(f"{path}/postings")
+        .write.parquet(f"{base}/postings")
     )
-    term_stats(tf).write.mode(mode).parquet(f"{path}/stats")
-    corpus_size(corpus, check_ids).select(
-        "n_docs",
-        F.lit(pattern).cast("string").alias("pattern"),
-        F.lit(length).alias("length"),
-    ).write.mode(mode).parquet(f"{path}/meta")
+    term_stats(tf).write.parquet(f"{base}/stats")
+    row = [(version, shape, n_docs, pattern, length)]
+    spark.createDataFrame(row, POINTER).coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
 
 
-def _bucket(buckets: int):
-    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("bucket")
+POINTER = "version string, shape string, n_docs long, pattern string, length string"
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def _vector_schema(vec: DataFrame):
+    return vec.select("doc_id", "len", "terms").schema.add("bucket", "integer")
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("bucket")
 
 
 def lookup_index(
@@ -113,9 +127,12 @@ def lookup_index(
     """Ranked similar terms ``(query, rank, term, similarity)`` from an index."""
     if n is not None and n < 0:
         raise ValueError("n must be >= 0 or None")
-    n_docs = spark.read.parquet(f"{path}/meta").select("n_docs").scalar()
-    stats = spark.read.parquet(f"{path}/stats").where(F.col("df") < n_docs)
-    postings = spark.read.parquet(f"{path}/postings")
+    current = spark.read.schema(POINTER).parquet(f"{path}/current").first()
+    if current is None:
+        raise ValueError(f"no finished index under {path}")
+    base, n_docs = f"{path}/{current['version']}", current["n_docs"]
+    stats = spark.read.parquet(f"{base}/stats").where(F.col("df") < n_docs)
+    postings = spark.read.parquet(f"{base}/postings")
     if isinstance(queries, DataFrame):
         qterms = queries.select(F.col("query").alias("term")).distinct()
         qpost = postings.join(qterms, "term")
@@ -125,11 +142,13 @@ def lookup_index(
         if not qlist:
             return spark.createDataFrame([], "query string, rank int, term string, similarity double")
         qpost = postings.where(F.col("term").isin(qlist))
-        # one row per distinct term of a driver-side list: a proven bound
-        qstats = F.broadcast(stats.where(F.col("term").isin(qlist)))
+        # at most one row per distinct term of the list
+        qstats = stats.where(F.col("term").isin(qlist))
+        if len(qlist) <= SMALL_QUERY_LIST:
+            qstats = F.broadcast(qstats)
     qpost = qpost.select("doc_id", "bucket", F.col("term").alias("query"), F.col("tf").alias("tfq"))
-    vectors = _read_if_present(spark, f"{path}/vectors")
-    if vectors is not None:
+    if current["shape"] == DOCUMENT_ROWS:
+        vectors = spark.read.parquet(f"{base}/vectors")
         docs = vectors.join(qpost, ["doc_id", "bucket"])
         prods = explode_terms(docs, "terms", "e").select(
             "query",

@@ -7,9 +7,6 @@ need them.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the engine relies on: adaptive execution (runtime coalescing, skew
@@ -30,8 +27,10 @@ def local_session(
     app: str = "termsim",
     driver_memory: str = "8g",
     extra: dict[str, str] | None = None,
+    checkpoint: str | None = None,
 ) -> SparkSession:
-    """A local session for tests and the bench."""
+    """A local session for tests and the bench. ``checkpoint`` is used where the
+    session names no ``spark.checkpoint.dir``; no folder is made up here."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -41,7 +40,8 @@ def local_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir(spark) is None and checkpoint is not None:
+        spark.sparkContext.setCheckpointDir(checkpoint)
     return spark
 
 
@@ -51,13 +51,3 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if current:
         return current
     return spark.conf.get("spark.checkpoint.dir", None) or None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir`` when the session has one; only when it is
-    unset (local tests) fall back to a fresh scratch folder."""
-    current = checkpoint_dir(spark)
-    if current is None:
-        current = tempfile.mkdtemp(prefix="termsim-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(current)
-    return current

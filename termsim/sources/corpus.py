@@ -18,6 +18,12 @@ from pyspark.sql import functions as F
 
 from termsim.functions.text import has_token, tokenize
 
+# The first token of a line: the separator class of ``WHITESPACE_RUN``, negated.
+FIRST_TOKEN = r"^[\s\x1c-\x1f\x85\p{Z}]*([^\s\x1c-\x1f\x85\p{Z}]+)"
+
+# Inputs estimated below this many bytes are spread over all tasks.
+SPREAD_BYTES = 64 << 20
+
 DOCUMENT_ROWS = "document rows"
 OCCURRENCE_ROWS = "occurrence rows"
 
@@ -42,11 +48,11 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """
     # The blank-line test runs on the raw text: a test on the token array would
     # be pushed below the projection and tokenize every line twice.
-    toks = lines.where(has_token(F.col(column))).select(tokenize(F.col(column)).alias("_tokens"))
-    return toks.select(
-        F.element_at("_tokens", 1).alias("doc_id"),
-        F.slice("_tokens", 2, F.size("_tokens") - 1).alias("terms"),
+    # The id is cut from the raw line, so counting documents tokenizes nothing.
+    toks = lines.where(has_token(F.col(column))).select(
+        F.regexp_extract(F.col(column), FIRST_TOKEN, 1).alias("doc_id"), tokenize(F.col(column)).alias("_tokens")
     )
+    return toks.select("doc_id", F.slice("_tokens", 2, F.size("_tokens") - 1).alias("terms"))
 
 
 def read_corpus(
@@ -64,23 +70,22 @@ def read_corpus(
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default:
-    the session's parallelism) when the scan gives fewer.
+    """Round-robin the rows of a small input over ``min_partitions`` tasks (default:
+    the session's parallelism).
 
     A parquet file is split by row groups, so a small table written as one row
     group is read by one task and all per-document work (tokenize, sort, count,
-    pairs) would run on one core. A large input already has more partitions
-    than cores and is left alone (no shuffle of the raw text).
+    pairs) would run on one core. Small is judged by the optimizer's estimate,
+    which runs no job; a large input has its own splits and is left alone (no
+    shuffle of the raw text).
     """
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: no RDD view; keep the scan as is
+    plan = getattr(df, "_jdf", None)
+    if plan is None:  # a Spark Connect session has no local plan: keep the scan
         return df
-    if have >= want:
+    size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= SPREAD_BYTES:
         return df
-    return df.repartition(want)
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def corpus_from_table(

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from termsim.session import checkpoint_dir
 from termsim.sources.corpus import parse_lines
 
 
@@ -25,17 +24,11 @@ def read_corpus_stream(spark: SparkSession, folder: str, max_files_per_trigger:
     return parse_lines(reader.load(folder))
 
 
-def append_corpus(stream: DataFrame, table_path: str, checkpoint: str | None = None) -> StreamingQuery:
+def append_corpus(stream: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
     """Append streamed documents to a parquet corpus table (exactly once).
 
-    The stream's checkpoint defaults to a folder under the session's
-    ``spark.checkpoint.dir`` (shared on a cluster)."""
-    if checkpoint is None:
-        base = checkpoint_dir(stream.sparkSession)
-        if not base:
-            raise ValueError("give a checkpoint folder or set spark.checkpoint.dir")
-        name = table_path.rstrip("/").rsplit("/", 1)[-1]
-        checkpoint = f"{base.rstrip('/')}/termsim-ingest/{name}"
+    ``checkpoint`` is a folder of this stream's own, on storage that the cluster
+    shares (e.g. under ``spark.checkpoint.dir``)."""
     return (
         stream.writeStream.format("parquet")
         .option("path", table_path)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,9 @@ from termsim.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=4, shuffle_partitions=4, app="termsim-tests")
+    session = local_session(
+        cores=4, shuffle_partitions=4, app="termsim-tests", checkpoint=tempfile.mkdtemp(prefix="run-")
+    )
     yield session
     session.stop()
 

@@ -119,3 +119,67 @@ def test_null_doc_id_is_reported(spark):
     with pytest.raises(Exception) as err:
         similar_terms(corpus_from_table(df, "id", "txt"), ["a"], pattern=None).collect()
     assert "NULL doc_id" in str(err.value)
+
+
+@pytest.mark.parametrize("extra", [62, 63, 90])
+def test_empty_and_null_terms_at_any_list_length(spark, extra):
+    """The plan for long query lists answers like the one for short lists."""
+    docs = spark.createDataFrame(
+        [("1", ["", "a", "b"]), ("2", ["", "a", None]), ("3", ["b", "c", None, None]), ("4", ["c"])], "doc_id string, terms array<string>"
+    )
+    expected = sorted(map(tuple, similar_terms(docs, ["", "a"], pattern=None, n=None).collect()))
+    queries = ["", "a"] + [f"unknown{i}" for i in range(extra)]
+    assert sorted(map(tuple, similar_terms(docs, queries, pattern=None, n=None).collect())) == expected
+    assert expected and not any(r[2] is None for r in expected)
+
+
+def test_null_terms_count_alike_in_both_shapes(spark):
+    from termsim import term_frequencies, to_occurrences
+
+    docs = spark.createDataFrame([("1", [None, "a", "b"]), ("2", [None])], "doc_id string, terms array<string>")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(term_frequencies(docs, None)) == rows(term_frequencies(to_occurrences(docs), None)) == [("1", "a", 1, 2, 0.5), ("1", "b", 1, 2, 0.5)]
+
+
+def test_cosine_of_known_unknown_and_disjoint_terms(spark, lines):
+    from termsim import cosine_pairs
+
+    docs = lines(["D1 a b", "D2 a x", "D3 c d", "D4 c"])
+    pairs = spark.createDataFrame([("a", "a"), ("a", "c"), ("a", "nope"), ("nope", "nope"), ("a", "b")], "term1 string, term2 string")
+    got = {(r[0], r[1]): r[2] for r in cosine_pairs(docs, pairs, None).collect()}
+    assert got["a", "a"] == 1.0 and got["a", "c"] == 0.0 and got["a", "nope"] is None and got["nope", "nope"] is None
+    assert 0 < got["a", "b"] < 1
+    everywhere = lines(["D1 a b", "D2 a c"])  # norm 0: in every document
+    assert cosine_pairs(everywhere, spark.createDataFrame([("a", "a")], "term1 string, term2 string"), None).first()[2] is None
+
+
+def test_building_a_corpus_runs_no_job(spark):
+    from pyspark.sql import functions as F
+
+    from termsim import corpus_from_table
+
+    grouped = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").groupBy("l_orderkey").agg(F.max(F.col("l_partkey").cast("string")).alias("c"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        corpus_from_table(grouped, "l_orderkey", "c")
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_pairs_of_a_long_document_are_cut(spark, monkeypatch):
+    import termsim.operators.similarity as sim
+
+    rows = [("big", f"t{i % 70}") for i in range(100)] + [("d2", "t1"), ("d2", "t2"), ("d3", "t1"), ("d4", "z")]
+    occ = spark.createDataFrame(rows, "doc_id string, term string")
+    key = lambda df: sorted((r["term1"], r["term2"], r["similarity"]) for r in df.collect())
+    whole = key(sim.similarity_matrix(occ, None))
+    monkeypatch.setattr(sim, "BLOCK_TERMS", 16)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = sim.similarity_matrix(occ, None)
+        assert key(cut) == whole and len(whole) > 2000
+        assert "hashpartitioning(doc_id" in cut._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

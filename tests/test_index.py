@@ -68,3 +68,27 @@ def test_index_with_pattern_and_original_length(spark, tmp_path):
     qs = ["the", "and", "of"]
     direct = similar_terms(docs, qs, pattern=short, length="original", n=None)
     assert _rows(lookup_index(spark, path, qs, n=None)) == _rows(direct)
+
+
+def test_rebuild_with_another_shape(spark, tmp_path):
+    path = str(tmp_path / "idx")
+    docs = spark.createDataFrame([("1", ["a", "b"]), ("2", ["a", "c"]), ("3", ["d"])], "doc_id string, terms array<string>")
+    occ = spark.createDataFrame([("1", "x"), ("1", "y"), ("2", "x"), ("2", "w"), ("3", "v")], "doc_id string, term string")
+    build_index(docs, path, pattern=None)
+    assert _rows(lookup_index(spark, path, ["a"])) == _rows(similar_terms(docs, ["a"], pattern=None))
+    build_index(occ, path, pattern=None, mode="overwrite")
+    assert _rows(lookup_index(spark, path, ["x"])) == _rows(similar_terms(occ, ["x"], pattern=None))
+    with pytest.raises(Exception, match="exists|EXISTS"):
+        build_index(docs, path, pattern=None)
+    with pytest.raises(ValueError):
+        build_index(docs, path, pattern=None, mode="append")
+
+
+def test_repeated_ids_stop_a_build_before_it_writes(spark, tmp_path):
+    path = tmp_path / "idx"
+    docs = spark.createDataFrame([("1", ["a"]), ("1", ["b"])], "doc_id string, terms array<string>")
+    with pytest.raises(Exception, match="repeated"):
+        build_index(docs, str(path), pattern=None)
+    assert {p.name for p in path.iterdir()} <= {"current"}
+    with pytest.raises(ValueError):
+        lookup_index(spark, str(path), ["a"])

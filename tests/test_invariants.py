@@ -89,13 +89,34 @@ def test_top_n_is_prefix_of_full_ranking(docs):
     assert _rows(top, cols) == _rows(full.where("rank <= 7"), cols)
 
 
-def test_distributed_rank_equals_window_rank(spark, docs):
-    scored = query_similarities(docs, ["the", "and", "is", "of"], None)
+def window_ranks(scored):
+    """The ranking by one plain window per query."""
+    from pyspark.sql import Window
+
     s = scored.select("query", "term", F.round("similarity", 9).alias("similarity"))
-    by_window = rank_terms(scored, 100000)
-    by_range = rank_all(s)
+    w = Window.partitionBy("query").orderBy(F.col("similarity").desc(), F.col("term"))
+    return s.withColumn("rank", F.row_number().over(w))
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_distributed_rank_equals_window_rank(spark, docs, reuse):
+    scored = query_similarities(docs, ["the", "and", "is", "of"], None)
+    cols = ["query", "rank", "term", "similarity"]
+    expected = _rows(window_ranks(scored), cols)
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        assert _rows(rank_terms(scored, None), cols) == expected
+        assert _rows(rank_terms(scored, 10**6), cols) == expected
+        assert _rows(rank_terms(scored, 1500), cols) == [r for r in expected if r[1] <= 1500]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_rank_of_ties_zeros_and_repeats(spark):
+    rows = [("q", f"t{i:03d}", s) for i, s in enumerate([0.5] * 40 + [1.0] * 3 + [1e-12] * 5 + [0.0] * 2 + [0.3, 0.30000000001])]
+    scored = spark.createDataFrame(rows + [("", "x", 0.5)], "query string, term string, similarity double")
     cols = ["query", "rank", "term", "similarity"]
-    assert _rows(by_window, cols) == _rows(by_range, cols)
+    assert _rows(rank_terms(scored, None), cols) == _rows(window_ranks(scored), cols)
 
 
 def test_pairs_corpus_matches_text_corpus(spark):
@@ -188,6 +209,6 @@ def test_distributed_rank_with_sort_merge_offsets(spark, monkeypatch):
         cols = ["query", "rank", "term", "similarity"]
         got = _rows(ranked, cols)
         assert "SortMergeJoin" in ranked._jdf.queryExecution().executedPlan().toString()
-        assert got and got == _rows(rank_terms(scored, 10**6), cols)
+        assert got and got == _rows(window_ranks(scored), cols)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -66,9 +66,9 @@ def test_top_n_uses_group_limit(docs):
     assert "WindowGroupLimit" in plan
 
 
-def test_full_ranking_is_range_partitioned(docs):
+def test_full_ranking_is_cut_into_pieces(docs):
     plan = _physical(similar_terms(docs, ["the"], pattern=None, n=None))
-    assert "rangepartitioning" in plan
+    assert "hashpartitioning(query" in plan and "_piece" in plan
     assert "WindowGroupLimit" not in plan
 
 

@@ -115,12 +115,12 @@ def test_materialize_under_checkpoint_dir(spark, lines):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ranked.collect()))
 
 
-def test_streaming_default_checkpoint_under_checkpoint_dir(spark, tmp_path):
+def test_streaming_from_many_triggers(spark, tmp_path):
     src = tmp_path / "in2"
     src.mkdir()
     (src / "a.txt").write_text("\n".join(F1) + "\n")
     table = str(tmp_path / "table2")
-    q = append_corpus(read_corpus_stream(spark, str(src), max_files_per_trigger=1), table)
+    q = append_corpus(read_corpus_stream(spark, str(src), max_files_per_trigger=1), table, str(tmp_path / "ckpt2"))
     try:
         q.processAllAvailable()
     finally:
@@ -142,3 +142,14 @@ def test_command_line_filter_search_and_length(spark, tmp_path):
     direct = similar_terms(read_corpus(spark, str(p)), ["data", "I"], pattern="^[a-zA-Z]",
                            length="original", search="^[a-z]", n=3)
     assert got and got == sorted(map(tuple, direct.collect()))
+
+
+def test_command_line_starts_as_a_script(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    script = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "termsim", "plans", "cli.py")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, script, "--help"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "--nofilter" in done.stdout
