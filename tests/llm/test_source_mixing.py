@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from termsim.llm import source_mixing as sm
@@ -96,3 +97,37 @@ def test_main_path_has_no_python(spark):
     for df in (sm.rates(mixture, stats), sm.apply_rates(docs, mixture)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_least_squares_point_on_slow_mixtures(spark):
+    rng = np.random.default_rng(8)
+    cases = [(0.4, 0.0), (0.4, 1.0), (30.0, 0.0), (30.0, 1.0)]  # sharp and soft posteriors, rates held or not
+    for alpha, least in cases:
+        n, p = rng.integers(1, 50, 80), rng.dirichlet([alpha] * 3, 80)
+        n[0] = 2000  # a hot document
+        weights = [0.7, 0.2, 0.1]
+        stats = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p)], "n long, p array<double>")
+        steps, residual, gradient = sm.solve_rates(stats, weights, least=least)
+        r = np.ones(80)
+        for s in steps:
+            r = np.maximum(r - p @ np.array(s), least)
+        a = n[:, None] * p
+        want = max(a.sum(0) / weights) * np.array(weights)
+        now = np.linalg.norm(a.T @ r - want)
+        assert gradient <= sm.TOLERANCE and abs(residual - now / want.sum()) < 1e-9
+        # the least distance, by accelerated projected steps in the scale of the square roots of n
+        root = np.sqrt(n)
+        b = root[:, None] * p
+        x = y = root * np.maximum(1.0, least)
+        k, step = 1.0, 1.0 / np.linalg.norm(b, 2) ** 2
+        for _ in range(100_000):
+            z = np.maximum(y - step * (b @ (b.T @ y - want)), least * root)
+            nxt = (1 + np.sqrt(1 + 4 * k * k)) / 2
+            x, y, k = z, z + (k - 1) / nxt * (z - x), nxt
+        assert now <= np.linalg.norm(b.T @ x - want) + 1e-4 * want.sum()
+
+
+def test_fit_that_does_not_end_raises(spark):
+    stats = spark.createDataFrame([(5, [0.9, 0.1]), (7, [0.2, 0.8])], "n long, p array<double>")
+    with pytest.raises(ArithmeticError):
+        sm.fit_rates(stats, [0.8, 0.2], rounds=0)
