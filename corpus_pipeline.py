@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from termsim.llm import decontaminate, near_dedup, quality_classifier, source_mixing, token_store
 from termsim.llm.storage import table, written
 
+#: Jaccard similarity of five-word sets, in percent, from which the near-dedup stage
+#: links documents (op1's query has a threshold of its own).
+PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents scored under the threshold go."""
@@ -26,9 +30,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group the document with the smallest id stays
+    """MinHash near-dedup from ``PERCENT`` up: of each group the document with the smallest id stays
     (rows of one id are one document; rows without an id stay)."""
-    groups = near_dedup.near_duplicates(docs)
+    groups = near_dedup.near_duplicates(docs, percent=PERCENT)
     dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 

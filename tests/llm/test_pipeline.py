@@ -97,3 +97,19 @@ def test_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE_SQL) <= set(entry.oracle_sql())
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_near_dedup_stage_links_from_80_percent(spark, tables):
+    rng = random.Random(9)
+    rows = []
+    for k in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows.append((2 * k, " ".join(words)))
+        for m in range(k % 6):  # Jaccard 1, 0.95, 0.90, 0.86, 0.81, 0.77
+            words[20 + 30 * m] = "other"
+        rows.append((2 * k + 1, " ".join(words)))
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, t in rows for w in [t.split()]}
+    like = {d: len(sets[d] & sets[d + 1]) / len(sets[d] | sets[d + 1]) for d in sets if d % 2 == 0}
+    assert sum(0.8 <= x < 0.85 for x in like.values()) >= 5 and min(like.values()) < 0.8
+    out = cp.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), tables[0])
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(d for d in sets if d % 2 == 0 or like[d - 1] < 0.8)
