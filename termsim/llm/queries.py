@@ -5,6 +5,7 @@ from __future__ import annotations
 from termsim.llm.chat_format import OP7_SQL, op7_chat_format
 from termsim.llm.decontaminate import op5_decontaminate
 from termsim.llm.html_extract import op8_html_extract
+from termsim.llm.merkle_manifest import OP13_SQL, op13_merkle_manifest
 from termsim.llm.near_dedup import OP1_SQL, op1_near_dedup
 from termsim.llm.order_fingerprint import op6_order_fingerprint
 from termsim.llm.quality_classifier import op10_quality_classifier
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_token_store": op9_token_store,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: DuckDB SQL by query; a query without an entry is tested against brute force.
@@ -31,4 +33,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_near_dedup": OP1_SQL,
     "op4_substring_dedup": OP4_SQL,
     "op7_chat_format": OP7_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
