@@ -8,9 +8,11 @@ from termsim.llm.html_extract import op8_html_extract
 from termsim.llm.merkle_manifest import OP13_SQL, op13_merkle_manifest
 from termsim.llm.near_dedup import OP1_SQL, op1_near_dedup
 from termsim.llm.order_fingerprint import op6_order_fingerprint
+from termsim.llm.phrases import OP12_SQL, op12_phrases
 from termsim.llm.quality_classifier import op10_quality_classifier
 from termsim.llm.source_mixing import op2_source_mixing
 from termsim.llm.substring_dedup import OP4_SQL, op4_substring_dedup
+from termsim.llm.token_counts import op11_token_counts
 from termsim.llm.token_store import op9_token_store
 from termsim.llm.toxicity import op3_toxicity
 
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_html_extract": op8_html_extract,
     "op9_token_store": op9_token_store,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_token_counts": op11_token_counts,
+    "op12_phrases": op12_phrases,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -33,5 +37,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_near_dedup": OP1_SQL,
     "op4_substring_dedup": OP4_SQL,
     "op7_chat_format": OP7_SQL,
+    "op12_phrases": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
