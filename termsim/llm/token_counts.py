@@ -10,13 +10,17 @@ Method
   neighbours ``(a, b)`` fit: encoding the bytes of ``a`` and ``b`` gives ``a, b`` back.
   So for the prefixes of a piece, ``count[j] = count[i] + 1`` for the one token
   ``piece[i:j]`` that fits behind the last token of ``piece[:i]``; walking ``i`` upwards
-  and the vocabulary's prefixes from ``i`` costs a piece its length times the length
-  of a token. Which tokens fit is worked out by merging once a pair and kept.
+  and a trie of the vocabulary from ``i`` costs a piece its length times the length
+  of a token. All new pieces of a portion are walked at once (numpy).
+* Two tokens fit when no merge crosses their border before both are complete. The last
+  symbol of the one and the first of the other grow by known merges; at each stage the
+  merge of the two, if there is one, must rank behind the next growth of either side.
 * Pieces come from the tokenizer's own first split. They never run from a sign into
   white space, so a text is cut into chunks (white space, then other signs) that can
-  be counted apart; the table of a text is the tables of its chunks in a row, as
-  differences between neighbouring prefixes. Equal chunks are counted once per worker
-  (a table of bounded size).
+  be counted apart; plain words and stops are chunks, and pieces, of their own. The
+  table of a text is the tables of its chunks in a row, as differences between
+  neighbouring prefixes. Equal chunks are counted once per worker (a table of bounded
+  size).
 * Where a prefix is split otherwise than the text: white space at its end is one
   piece; a contraction of two letters that has only its first is two pieces; a special
   string that is cut is ordinary text. The tables hold these counts.
@@ -50,9 +54,11 @@ from termsim.llm.storage import table, written
 
 LIMIT = 1024
 #: Bounds of what a worker keeps: chunks, code points of their tables, fitting pairs.
-CHUNKS, POINTS, PAIRS = 300_000, 8 << 20, 1 << 20
+CHUNKS, POINTS, PAIRS = 800_000, 16 << 20, 1 << 20
 #: Longer chunks are not kept, longer texts are taken in portions.
 LONG_CHUNK, PORTION = 64, 1 << 20
+#: Pieces of up to so many bytes are walked together, by groups of similar length.
+GROUPS = (8, 16, 32)
 
 # --- Fixed values: the tokenizer's white space (Unicode's White_Space) and the
 # contractions of two letters that its first split takes as one piece. ---------
@@ -60,7 +66,14 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 # ------------------------------------------------------------------------------
 
-_CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+# Latin letters: surely letters for the tokenizer, which may know more.
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_STOP = ".,;:!?"
+# a word between signs that surely end it, a run of stops in front of a word or a
+# blank, or all up to the next white space
+_PLAIN = f" ?[{_LETTER}]+(?![^{WHITE}{_STOP}])|[{_STOP}]+(?![^{WHITE}{_LETTER}])"
+_CHUNK = re.compile(f"{_PLAIN}|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+_PLAIN_CHUNK = re.compile(f" ?[{_LETTER}]+|[{_STOP}]+")
 _BREAK = re.compile(f"[^{WHITE}][{WHITE}]")
 
 
@@ -95,84 +108,204 @@ class PrefixCounter:
         if any(a.get("lstrip") or a.get("rstrip") or a.get("single_word") for a in added):
             raise ValueError("special strings that take in their surroundings are not supported")
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self.letters = _byte_letters()
-        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-        self.rank = {m: k for k, m in reversed(list(enumerate(merges)))}
-        # every beginning of a token -> its id, or -1 where it is none itself
-        self.begins: dict[str, int] = {}
-        for token in model["vocab"]:
-            for j in range(1, len(token)):
-                self.begins.setdefault(token[:j], -1)
-        self.begins.update(model["vocab"])
-        self.token = {i: t for t, i in model["vocab"].items()}
+        byte = {c: b for b, c in enumerate(_byte_letters())}
+        raw = lambda t: bytes(byte[c] for c in t)
+        self.tokens = {raw(t): i for t, i in model["vocab"].items()}
+        merges = [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+        self.rank = {(self.tokens[a], self.tokens[b]): k for k, (a, b) in enumerate(merges)}
+        self.made = {self.tokens[a + b]: (k, self.tokens[a], self.tokens[b]) for k, (a, b) in enumerate(merges)}
+        if len(self.made) < len(merges) or any(len(t) > 1 and i not in self.made for t, i in self.tokens.items()):
+            raise ValueError("a token has several merges, or none")
+        if any(bytes([b]) not in self.tokens for b in range(256)):
+            raise ValueError("a byte is no token")
+        self._trie()
         special = sorted((a["content"] for a in added), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.spines: tuple[dict, dict] = {}, {}
+        self.valid: dict[int, bool] = {}
+        self._forget_pairs()
         self.limit = chunks
         self._reset()
 
-    # -- one piece ---------------------------------------------------------
+    def _trie(self) -> None:
+        """``edge`` (node * 256 + byte, sorted), ``child`` and the token of each node."""
+        node = {b"": 0}
+        edges = {}
+        for t in self.tokens:
+            for j in range(1, len(t) + 1):
+                if t[:j] not in node:
+                    node[t[:j]] = len(node)
+                    edges[node[t[: j - 1]] * 256 + t[j - 1]] = node[t[:j]]
+        self.begins = {t: self.tokens.get(t, -1) for t in node}
+        self.edge = np.array(sorted(edges), np.int64)
+        self.child = np.array([edges[e] for e in self.edge.tolist()], np.int64)
+        self.token_of = np.full(len(node), -1, np.int64)
+        for t, i in self.tokens.items():
+            self.token_of[node[t]] = i
+
+    # -- which tokens fit ----------------------------------------------------
+
+    def _forget_pairs(self) -> None:
+        self.pair_key, self.pair_fit = np.array([-1], np.int64), np.array([False])
+
+    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The last (side 0) or first (side 1) symbol of a token as it is merged:
+        ``(symbol, rank of the merge that ends it)``, the token itself at the end."""
+        known = self.spines[side].get(token)
+        if known is None:
+            if token in self.made:
+                rank, *parts = self.made[token]
+                inner = self._spine(parts[1 - side], side)
+                known = [*inner[:-1], (inner[-1][0], rank), (token, len(self.rank))]
+            else:
+                known = [(token, len(self.rank))]
+            self.spines[side][token] = known
+        return known
 
-    def _merged(self, piece: str) -> list[str]:
-        parts = list(piece)
-        while len(parts) > 1:
-            ranks = [self.rank.get(p, len(self.rank)) for p in zip(parts, parts[1:], strict=False)]
-            best = min(ranks)
-            if best == len(self.rank):
-                break
-            k = ranks.index(best)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        return parts
+    def _crossing(self, a: int, b: int) -> tuple[int, int] | None:
+        """The symbols that the first merge across the border of ``a b`` joins."""
+        left, right, i, j, never = self._spine(a, 0), self._spine(b, 1), 0, 0, len(self.rank)
+        while True:
+            (x, ends_x), (y, ends_y) = left[i], right[j]
+            rank = self.rank.get((x, y))
+            # of merges of one rank the leftmost is done first
+            if rank is not None and rank < ends_x and rank <= ends_y:
+                return x, y
+            if ends_x == ends_y == never:
+                return None
+            if ends_x <= ends_y:
+                i += 1
+            else:
+                j += 1
 
-    def _fits(self, a: int, b: int) -> bool:
-        """Whether token ``b`` may stand behind ``a`` (-1: at the start of a piece)."""
-        known = self.pairs.get((a, b))
+    def _whole(self, token: int) -> bool:
+        """Whether encoding a token's bytes gives the token."""
+        known = self.valid.get(token)
         if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            two = [self.token[b]] if a < 0 else [self.token[a], self.token[b]]
-            known = self.pairs[a, b] = self._merged("".join(two)) == two
+            known = True
+            if token in self.made:
+                _, a, b = self.made[token]
+                known = self._whole(a) and self._whole(b) and self._crossing(a, b) == (a, b)
+            self.valid[token] = known
         return known
 
-    def piece_counts(self, piece: str) -> list[int]:
-        """Counts of the prefixes of 0 to n bytes of one piece (in the vocabulary's letters)."""
-        n, begins, fits = len(piece), self.begins, self._fits
+    def fits(self, a: int, b: int) -> bool:
+        """Whether token ``b`` may stand behind ``a`` (-1: at the start of a piece)."""
+        return self._whole(b) and (a < 0 or self._crossing(a, b) is None)
+
+    def _fits_many(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = (a + 1 << 32) | b
+        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
+        new = np.unique(key[self.pair_key[at] != key])
+        if len(new):
+            if len(self.pair_key) > PAIRS:
+                self._forget_pairs()
+                return self._fits_many(a, b)
+            fit = np.array([self.fits((k >> 32) - 1, k & 0xFFFFFFFF) for k in new.tolist()])
+            keys = np.concatenate([self.pair_key, new])
+            order = np.argsort(keys, kind="stable")
+            self.pair_key, self.pair_fit = keys[order], np.concatenate([self.pair_fit, fit])[order]
+            at = np.searchsorted(self.pair_key, key)
+        return self.pair_fit[at]
+
+    # -- pieces --------------------------------------------------------------
+
+    def _long_piece(self, piece: bytes) -> list[int]:
+        """Counts of the prefixes of 0 to n bytes of one piece."""
+        n, begins = len(piece), self.begins
         count, last = [0] * (n + 1), [-1] * (n + 1)
         for i in range(n):
-            here, behind = count[i] + 1, last[i]
             for j in range(i + 1, n + 1):
                 token = begins.get(piece[i:j])
                 if token is None:
                     break
-                if token >= 0 and fits(behind, token):
-                    count[j], last[j] = here, token
+                if token >= 0 and self.fits(last[i], token):
+                    count[j], last[j] = count[i] + 1, token
         return count
 
-    def _by_point(self, text: str, piece: str | None = None) -> list[int]:
-        """Counts after each code point of ``text`` taken as one piece."""
-        if piece is None:
-            piece = "".join(self.letters[b] for b in text.encode())
-        counts = self.piece_counts(piece)
-        if len(piece) == len(text):
-            return counts[1:]
-        ends = np.cumsum([len(c.encode()) for c in text])
-        return [counts[e] for e in ends]
-
-    # -- one chunk ---------------------------------------------------------
-
-    def chunk_counts(self, chunk: str) -> list[int]:
-        """Counts after each code point of a chunk."""
-        white = len(chunk) - len(chunk.lstrip(WHITE))
-        out = self._by_point(chunk[:white]) if white else []
-        total = 0
-        for piece, (a, b) in self.split(chunk):
-            text = chunk[a:b]
-            counts = self._by_point(text, piece)
-            end = counts[-1]
-            if text in LONG_CONTRACTIONS:
-                counts[1] = self._by_point("'")[0] + self._by_point(text[1])[0]
-            out += [total + c for c in counts[max(0, white - a) :]]
-            total += end
+    def _pieces(self, pieces: list[bytes]) -> np.ndarray:
+        """The same for many pieces: ``counts[piece, bytes]``."""
+        size = np.array([len(p) for p in pieces])
+        width = int(size.max())
+        inside = np.arange(width) < size[:, None]
+        letters = np.zeros((len(pieces), width), np.int64)
+        letters[inside] = np.frombuffer(b"".join(pieces), np.uint8)
+        # all places where a token stands: piece, from, to, token
+        p, i = np.nonzero(inside)
+        j, node = i.copy(), np.zeros(len(p), np.int64)
+        found = []
+        while len(p):
+            key = node * 256 + letters[p, j]
+            at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+            known = self.edge[at] == key
+            p, i, j, node = p[known], i[known], j[known] + 1, self.child[at[known]]
+            token = self.token_of[node]
+            hit = token >= 0
+            found.append((p[hit], i[hit], j[hit], token[hit]))
+            more = j < size[p]
+            p, i, j, node = p[more], i[more], j[more], node[more]
+        p, i, j, token = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(i, kind="stable")
+        p, j, token = p[order], j[order], token[order]
+        ends = np.searchsorted(i[order], np.arange(width + 1))
+        count, last = np.zeros((len(pieces), width + 1), np.int32), np.full((len(pieces), width + 1), -1, np.int64)
+        for k in range(width):
+            q, to, t = (c[ends[k] : ends[k + 1]] for c in (p, j, token))
+            fit = self._fits_many(last[q, k], t)
+            q, to, t = q[fit], to[fit], t[fit]
+            count[q, to], last[q, to] = count[q, k] + 1, t
+        return count
+
+    def _by_point(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(counts, sizes)`` of texts that are one piece each, sorted by their bytes:
+        the counts after each of their code points, one text after the other."""
+        raw = [t.encode() for t in texts]
+        counts, sizes, at = [], [np.array([len(t) for t in texts], np.int64)], 0
+        for limit in GROUPS:
+            end = at
+            while end < len(raw) and len(raw[end]) <= limit:
+                end += 1
+            if end > at:
+                group = raw[at:end]
+                found = self._pieces(group)
+                size = np.array([len(g) for g in group])
+                letters = np.zeros((len(group), found.shape[1]), np.uint8)
+                letters[np.arange(found.shape[1]) < size[:, None]] = np.frombuffer(b"".join(group), np.uint8)
+                # a code point ends where the next byte does not continue it
+                point = (letters & 0xC0) != 0x80
+                point[:, 0] = False
+                point &= np.arange(found.shape[1]) <= size[:, None]
+                counts.append(found[point])
+            at = end
+        for t, r in zip(texts[at:], raw[at:], strict=True):
+            ends = np.cumsum([len(c.encode()) for c in t])
+            counts.append(np.array(self._long_piece(r), np.int64)[ends])
+        return np.concatenate([np.zeros(0, np.int64), *counts]), sizes[0]
+
+    # -- chunks --------------------------------------------------------------
+
+    def _general_chunks(self, chunks: list[str]) -> list[np.ndarray]:
+        """Counts after each code point of chunks of any kind."""
+        split = [(c, len(c) - len(c.lstrip(WHITE)), [(c[a:b], a) for _, (a, b) in self.split(c)]) for c in chunks]
+        needed = {c[:white] for c, white, _ in split if white} | {t for *_, parts in split for t, _ in parts}
+        if not needed.isdisjoint(LONG_CONTRACTIONS):
+            needed |= {"'"} | {c[1] for c in LONG_CONTRACTIONS}
+        pieces = sorted(needed, key=lambda t: len(t.encode()))
+        flat, sizes = self._by_point(pieces)
+        known = dict(zip(pieces, np.split(flat, np.cumsum(sizes)[:-1]), strict=True))
+        out = []
+        for c, white, parts in split:
+            # white space at the end of a prefix is one piece
+            counts, total = [known[c[:white]]] if white else [], 0
+            for t, at in parts:
+                own = known[t]
+                end = own[-1]
+                if t in LONG_CONTRACTIONS:
+                    own = own.copy()
+                    own[1] = known["'"][0] + known[t[1]][0]
+                counts.append(total + own[max(0, white - at) :])
+                total += end
+            out.append(np.concatenate(counts))
         return out
 
     # -- texts -------------------------------------------------------------
@@ -183,17 +316,23 @@ class PrefixCounter:
         self.flat = np.zeros(0, np.int16)
 
     def _learn(self, new: list[str]) -> None:
-        counts = [np.array(self.chunk_counts(c)) for c in new]
-        steps = [np.diff(c, prepend=0) for c in counts]
-        sizes = np.array([len(s) for s in steps], np.int64)
-        flat = np.concatenate(steps)
-        if len(flat) and np.abs(flat).max() > np.iinfo(np.int16).max:
+        plain = sorted((c for c in new if _PLAIN_CHUNK.fullmatch(c)), key=lambda t: len(t.encode()))
+        others = list(set(new).difference(plain))
+        counts, sizes = self._by_point(plain)
+        if others:
+            general = self._general_chunks(others)
+            counts = np.concatenate([counts, *general])
+            sizes = np.append(sizes, [len(g) for g in general])
+        upto = np.cumsum(sizes)
+        steps = np.diff(counts, prepend=0)
+        steps[upto[:-1]] = counts[upto[:-1]]  # the first of a chunk counts from 0
+        if len(steps) and np.abs(steps).max() > np.iinfo(np.int16).max:
             raise ArithmeticError("a step between prefixes does not fit into 16 bits")
-        self.start = np.append(self.start, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.start = np.append(self.start, len(self.flat) + upto - sizes)
         self.size = np.append(self.size, sizes)
-        self.total = np.append(self.total, [c[-1] for c in counts])
-        self.flat = np.append(self.flat, flat.astype(np.int16))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.total = np.append(self.total, counts[upto - 1])
+        self.flat = np.append(self.flat, steps.astype(np.int16))
+        self.known.update(zip([*plain, *others], range(len(self.known), len(self.known) + len(new)), strict=True))
 
     def _plain_steps(self, text: str) -> Iterator[np.ndarray]:
         """Steps of a text without special strings, portion by portion."""

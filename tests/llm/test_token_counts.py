@@ -55,6 +55,31 @@ def test_every_prefix_of_any_unicode(counter, library, text):
     check(counter, library, [text])
 
 
+def merged(counter, made, tokens):
+    """Plain BPE: the best-ranked leftmost pair until none is left."""
+    parts = [counter.tokens[bytes([b])] for b in b"".join(tokens)]
+    while True:
+        ranks = [counter.rank.get(p, len(counter.rank)) for p in zip(parts, parts[1:], strict=False)]
+        if not ranks or min(ranks) == len(counter.rank):
+            return parts
+        k = ranks.index(min(ranks))
+        parts[k : k + 2] = [made[parts[k], parts[k + 1]]]
+
+
+def test_fitting_tokens_against_merging(counter):
+    rng = random.Random(7)
+    made = {(a, b): t for t, (_, a, b) in counter.made.items()}
+    tokens = sorted(counter.tokens)
+    alike = [t for t in tokens if set(t) <= set(b"aeinrst ") or set(t) <= set(b"= -")]
+    for some in (tokens, alike):
+        for _ in range(4000):
+            a, b = rng.choice(some), rng.choice(some)
+            whole = merged(counter, made, [b]) == [counter.tokens[b]]
+            assert counter.fits(-1, counter.tokens[b]) == whole
+            if merged(counter, made, [a]) == [counter.tokens[a]]:
+                assert counter.fits(counter.tokens[a], counter.tokens[b]) == (merged(counter, made, [a, b]) == [counter.tokens[a], counter.tokens[b]])
+
+
 def test_white_space_is_the_librarys(library):
     """One sign between letters is a piece apart or joins them; white space never joins a following word."""
     points = [*range(0xD800), *range(0xE000, 0x3100), *range(0xFE00, 0x10000)]
