@@ -136,7 +136,8 @@ def manifest(docs: DataFrame, group: str = "lang", key: str = "doc_id", keep: di
     leaves = docs.select(
         tree.alias("tree"), F.col(key).alias("key"), leaf_digest().alias("digest"), *[c.alias(f"keep_{k}") for k, c in enumerate(keep.values())]
     )
-    levels = _climb(_numbered(leaves, ["key", "digest"]), fanout)
+    # written first, so that finding the ranges does not read and hash the texts again
+    levels = _climb(_numbered(written(leaves, "merkle-leaves"), ["key", "digest"]), fanout)
     subroots = _apexes(levels)
     top = _climb(_numbered(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), "digest"), ["group"]), fanout)
     no_way = F.array().cast("array<struct<before:string,after:string>>")
