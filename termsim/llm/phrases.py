@@ -53,8 +53,8 @@ INSIDE = 50
 TOP = 2000
 SHARDS = 3
 FILTER_BITS = 1 << 27
-#: Phrases that a task adds up before it sends their counts.
-HELD = 1_500_000
+#: Phrases that a task holds before it adds up equal ones.
+HELD = 1_000_000
 _ROWS = 100_000
 
 _BLANK = np.zeros(256, dtype=bool)
@@ -118,7 +118,7 @@ def _known(bitmap: np.ndarray, parts: list[np.ndarray], salt) -> np.ndarray:
     return found
 
 
-def _added_up(parts: list[np.ndarray], shard: np.ndarray, shards: int):
+def _added_up(parts: list[np.ndarray], counts: np.ndarray):
     """Equal phrases together: ``(parts, counts[phrase, shard], first place)``."""
     key = parts[0]
     for k, p in enumerate(parts[1:], 1):
@@ -127,9 +127,34 @@ def _added_up(parts: list[np.ndarray], shard: np.ndarray, shards: int):
     parts = [p[order] for p in parts]
     new = np.ones(len(order), dtype=bool)
     new[1:] = np.logical_or.reduce([p[1:] != p[:-1] for p in parts])
-    group = np.cumsum(new) - 1
-    counts = np.bincount(group * shards + shard[order], minlength=shards * int(new.sum())).reshape(-1, shards)
-    return [p[new] for p in parts], counts, order[new]
+    starts = np.flatnonzero(new)
+    counts = np.add.reduceat(counts[order], starts, axis=0) if len(starts) else counts
+    return [p[new] for p in parts], counts, order[starts]
+
+
+class _Held:
+    """Phrases and counts that a task has not sent yet. Equal ones are added up when
+    there are ``HELD``; they go only when that leaves more than half."""
+
+    def __init__(self):
+        self.parts, self.counts, self.size = [], [], 0
+
+    def add(self, parts: list[np.ndarray], counts: np.ndarray) -> None:
+        self.parts.append(parts)
+        self.counts.append(counts)
+        self.size += len(counts)
+
+    def full(self) -> bool:
+        if self.size < HELD:
+            return False
+        self.add(*self.take())
+        return self.size >= HELD // 2
+
+    def take(self) -> tuple[list[np.ndarray], np.ndarray]:
+        whole = [np.concatenate(p) for p in zip(*self.parts, strict=True)]
+        parts, counts, _ = _added_up(whole, np.concatenate(self.counts))
+        self.parts, self.counts, self.size = [], [], 0
+        return parts, counts
 
 
 def _grams(hashes, joined, n: int):
@@ -159,6 +184,10 @@ def _parsed(batches, seed: int):
                 yield part, starts, ends, row, joined, hashes, shard[i:j][row], batch.column(0).slice(i, j - i)
 
 
+def _count_columns(counts: np.ndarray) -> dict[str, pa.Array]:
+    return {f"c{k}": pa.array(counts[:, k].astype(np.int64)) for k in range(counts.shape[1])}
+
+
 def _rows(columns: dict[str, pa.Array]):
     whole = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
     for i in range(0, whole.num_rows, _ROWS):
@@ -170,28 +199,28 @@ def _ints(a: np.ndarray) -> pa.Array:
 
 
 def _count_words(seed: int, shards: int):
+    one = np.eye(shards, dtype=np.int32)
+
     def run(batches):
-        hashes, shard, names, held = [], [], {}, 0
+        held, names = _Held(), {}
 
         def sent():
-            (h,), counts, _ = _added_up([np.concatenate(hashes)], np.concatenate(shard), shards)
+            (h,), counts = held.take()
             texts = [names[k] for k in h.tolist()]
+            names.clear()
             out = {"h1": _ints(h), "lang": pa.array([t[0] for t in texts], pa.string()), "word": pa.array([t[1] for t in texts], pa.string())}
-            yield from _rows(out | {f"c{k}": _ints(counts[:, k]) for k in range(shards)})
+            yield from _rows(out | _count_columns(counts))
 
         for part, starts, ends, row, _, h, s, langs in _parsed(batches, seed):
             raw, of = part.tobytes(), langs.to_pylist()
-            (distinct,), _, first = _added_up([h], np.zeros(len(h), np.int64), 1)
+            (distinct,), counts, first = _added_up([h], one[s])
             for k, i in zip(distinct.tolist(), first.tolist(), strict=True):
                 if k not in names:
                     names[k] = of[row[i]], raw[starts[i] : ends[i]].lower().decode()
-            hashes.append(h)
-            shard.append(s)
-            held += len(h)
-            if held >= HELD:
+            held.add([distinct], counts)
+            if held.full():
                 yield from sent()
-                hashes, shard, names, held = [], [], {}, 0
-        if held:
+        if held.size:
             yield from sent()
 
     return run
@@ -201,16 +230,16 @@ def _count_phrases(sizes: tuple[int, ...], seed: int, shards: int, bitmap, local
     """Counts of the phrases of ``sizes`` words. ``local``: by shard, of those whose
     shorter halves are locally frequent. Else: of those that the bitmap knows."""
 
+    one = np.eye(shards, dtype=np.int32)
+
     def run(batches):
         bits = np.frombuffer(bitmap.value, np.uint8)
-        held = {n: [] for n in sizes}
+        held = {n: _Held() for n in sizes}
 
         def sent(n):
-            parts = [np.concatenate([g[0][k] for g in held[n]]) for k in range(n)]
-            parts, counts, _ = _added_up(parts, np.concatenate([g[1] for g in held[n]]), shards)
-            held[n] = []
+            parts, counts = held[n].take()
             out = {f"h{k + 1}": _ints(parts[k]) if k < n else pa.nulls(len(counts), pa.int64()) for k in range(max(sizes))}
-            yield from _rows(out | {f"c{k}": _ints(counts[:, k]) for k in range(shards)})
+            yield from _rows(out | _count_columns(counts))
 
         for *_, joined, h, s, _ in _parsed(batches, seed):
             for n in sizes:
@@ -221,12 +250,12 @@ def _count_phrases(sizes: tuple[int, ...], seed: int, shards: int, bitmap, local
                     keep &= _known(bits, parts[1:], salt)
                 else:
                     keep = _known(bits, parts, np.uint64(0))
-                if keep.any():
-                    held[n].append(([p[keep] for p in parts], s[at][keep] if local else np.zeros(int(keep.sum()), np.int64)))
-                if sum(len(g[1]) for g in held[n]) >= HELD:
+                parts, counts, _ = _added_up([p[keep] for p in parts], one[s[at][keep] if local else np.zeros(int(keep.sum()), np.int64)])
+                held[n].add(parts, counts)
+                if held[n].full():
                     yield from sent(n)
         for n in sizes:
-            if held[n]:
+            if held[n].size:
                 yield from sent(n)
 
     return run
