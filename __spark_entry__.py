@@ -19,7 +19,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +36,9 @@ from termsim.operators.lookup import (
 from termsim.operators.report import report_lines
 from termsim.operators.similarity import matrix_axis, rounded, similarity_matrix
 from termsim.operators.weights import document_frequency, idf, term_norms, tfidf
-from termsim.plans.index import build_index, lookup_index
+from termsim.plans.index import build_index, lookup_index, topn_index
+from termsim.plans.jobs import tfidf_job
+from termsim.plans.nearest import nearest_terms
 from termsim.session import checkpoint_dir
 from termsim.sources.corpus import corpus_from_pairs, corpus_from_table, parse_lines, read_corpus, to_occurrences
 
@@ -52,6 +53,8 @@ SEARCH = r"^[a-z]*ing$"
 PART_PATTERN = r"^1"
 # More query terms than the term-keyed plan takes: letter pairs, most of them unknown.
 LONG_LIST = QUERIES + [a + b for a in "aeinorst" for b in "adehnorst" if a + b not in QUERIES]
+# 100 letter pairs, all 10,000 pairs of them: some frequent, some rare, some unknown.
+PAIR_TERMS = [a + b for a in "aeinorstdl" for b in "adehnorstu"]
 COSINE_PAIRS = [(a, b) for a in QUERIES for b in QUERIES] + [("the", "cake"), ("cake", "cake")]
 
 
@@ -280,13 +283,43 @@ def q_index_lookup(spark, sf):
     return lookup_index(spark, path, QUERIES, n=10)
 
 
+def q_tfidf_one_scan(spark, sf):
+    return tfidf_job(_documents(spark, sf), pattern=None, folder=_shared(spark)).select("term", "doc_id", _r9("w"))
+
+
+def q_index_topn(spark, sf):
+    path = _shared(spark)
+    build_index(_documents(spark, sf), path, pattern=None)
+    return topn_index(spark, path, QUERIES, n=10)
+
+
+def _nearest_rounded(spark, corpus):
+    # ranked by 9 decimals, shown with 6
+    ranked = nearest_terms(corpus, pattern=None, n=5, folder=_shared(spark))
+    return ranked.withColumn("similarity", F.round("similarity", 6))
+
+
+def q_nearest_terms(spark, sf):
+    return _nearest_rounded(spark, _documents(spark, sf))
+
+
+def q_nearest_parts(spark, sf):
+    return _nearest_rounded(spark, _baskets(spark, sf))
+
+
+def q_cosine_pairs_many(spark, sf):
+    rows = [(a, b) for a in PAIR_TERMS for b in PAIR_TERMS]
+    return cosine_pairs(_documents(spark, sf), spark.createDataFrame(rows, "term1 string, term2 string"), pattern=None)
+
+
 def _llm() -> tuple[dict, dict]:
     """Queries and SQL of the training-data operators and the pipeline, when
-    their package is there (the rest of the library does not need it)."""
-    if find_spec("termsim.llm") is None or find_spec("corpus_pipeline") is None:
+    they can be imported (the rest of the library does not need them)."""
+    try:
+        import corpus_pipeline
+        from termsim.llm.queries import ORACLE_SQL, QUERIES
+    except ImportError:
         return {}, {}
-    import corpus_pipeline
-    from termsim.llm.queries import ORACLE_SQL, QUERIES
 
     more = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
     return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLE_SQL, **more}
@@ -339,6 +372,11 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "similar_terms_long_list": q_similar_terms_long_list,
         "text_corpus": q_text_corpus,
         "index_lookup": q_index_lookup,
+        "tfidf_one_scan": q_tfidf_one_scan,
+        "index_topn": q_index_topn,
+        "nearest_terms": q_nearest_terms,
+        "nearest_parts": q_nearest_parts,
+        "cosine_pairs_many": q_cosine_pairs_many,
     }
 
 
@@ -423,6 +461,18 @@ cells AS (SELECT a.term AS term1, b.term AS term2,
 SELECT term1, term2, similarity FROM cells{diag}"""
 
 
+def _nearest(base: str, n: int) -> str:
+    """Every term's first ``n`` from all pairs of co-occurring terms (numbered, so that
+    the pairs stay small). The similarity is given with 6 decimals, the rank uses 9."""
+    return f"""WITH {base},{_WEIGHTS},
+k AS (SELECT term, CAST(row_number() OVER (ORDER BY term) AS INTEGER) AS id FROM nrm),
+x AS (SELECT id, doc_id, w / norm AS x FROM u JOIN k USING (term)),
+c AS (SELECT a.id AS a, b.id AS b, sum(a.x * b.x) AS s FROM x a JOIN x b ON a.doc_id = b.doc_id AND a.id <> b.id GROUP BY 1, 2),
+r AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY round(s, 9) DESC, b) AS rank FROM c WHERE s > 0 QUALIFY rank <= {n})
+SELECT ka.term AS query, CAST(rank AS INTEGER) AS rank, kb.term AS term, round(s, 6) AS similarity
+FROM r JOIN k ka ON ka.id = a JOIN k kb ON kb.id = b"""
+
+
 def _positions(values: list[str]) -> str:
     first: dict[str, int] = {}
     for i, q in enumerate(values, start=1):
@@ -482,6 +532,7 @@ SELECT doc_id, CAST(unnest(generate_series(0, len(ws) - 1)) AS INTEGER) AS pos,
         "document_frequency": f"WITH {docs} SELECT term, count(*) AS df FROM tf GROUP BY term",
         "idf": f"WITH {docs},{_WEIGHTS} SELECT term, df, round(idf, 9) AS idf FROM idf",
         "tfidf": f"WITH {docs},{_WEIGHTS} SELECT term, doc_id, round(w, 9) AS w FROM w",
+        "tfidf_one_scan": f"WITH {docs},{_WEIGHTS} SELECT term, doc_id, round(w, 9) AS w FROM w",
         "term_norms": f"WITH {docs},{_WEIGHTS} SELECT term, round(norm, 9) AS norm FROM nrm",
         "dot_product": f"""WITH {docs},{_WEIGHTS}
 SELECT a.term AS query, b.term AS term, round(sum(a.w * b.w), 9) AS dot
@@ -531,4 +582,15 @@ t AS (SELECT list_filter(string_split_regex(value, '{_WS}'), lambda x: x <> '')
 d AS (SELECT ws[1] AS doc_id, ws[2:] AS terms FROM t WHERE len(ws) > 0)
 SELECT doc_id, CAST(unnest(generate_series(0, len(terms) - 1)) AS INTEGER) AS pos, unnest(terms) AS term FROM d""",
         "index_lookup": _ranked(docs, QUERIES, 10),
+        "index_topn": _ranked(docs, QUERIES, 10),
+        "nearest_terms": _nearest(docs, 5),
+        "nearest_parts": _nearest(baskets, 5),
+        "cosine_pairs_many": f"""WITH {docs},{_WEIGHTS},
+t AS (SELECT unnest([{_in_list(PAIR_TERMS)}]) AS t),
+p AS (SELECT a.t AS term1, b.t AS term2 FROM t a, t b),
+c AS (SELECT a.term AS term1, b.term AS term2, sum(a.w * b.w) / (any_value(a.norm) * any_value(b.norm)) AS s
+      FROM u a JOIN u b USING (doc_id) WHERE a.term IN (SELECT t FROM t) AND b.term IN (SELECT t FROM t) GROUP BY 1, 2)
+SELECT p.term1, p.term2, CASE WHEN p.term1 IN (SELECT term FROM nrm WHERE norm > 0) AND p.term2 IN (SELECT term FROM nrm WHERE norm > 0)
+  THEN CASE WHEN p.term1 = p.term2 THEN 1.0::DOUBLE ELSE round(coalesce(c.s, 0.0), 9) END END AS similarity
+FROM p LEFT JOIN c ON p.term1 = c.term1 AND p.term2 = c.term2""",
     }

@@ -175,25 +175,7 @@ def _wide_postings(corpus: DataFrame, qlist: list[str], pattern: str | None, len
     ``len(qlist)`` rows per document) joined back on ``doc_id``.
     """
     if corpus_shape(corpus) == DOCUMENT_ROWS:
-        vec = document_vectors(corpus, pattern, length).select(
-            "len", "terms", F.filter("terms", lambda e: e["term"].isin(qlist)).alias("hits")
-        )
-        lenf = F.col("len").cast("double")
-        # tf of every query term in this document (0 when absent); NULL when none is present
-        qtf = F.when(
-            F.size("hits") > 0,
-            F.array(
-                *[
-                    F.coalesce(F.get(F.filter("hits", _term_is(q)), 0)["n"] / lenf, F.lit(0.0))
-                    for q in qlist
-                ]
-            ),
-        )
-        postings = explode_terms(vec.select("len", "terms", qtf.alias("qtf")), "terms", "e").select(
-            F.col("e.term").alias("term"),
-            (F.col("e.n") / F.col("len").cast("double")).alias("tf"),
-            "qtf",
-        )
+        postings = _vector_postings(document_vectors(corpus, pattern, length), qlist)
     else:
         tf = term_frequencies(corpus, pattern, length)
         per_doc = (
@@ -209,6 +191,36 @@ def _wide_postings(corpus: DataFrame, qlist: list[str], pattern: str | None, len
     return postings
 
 
+def _vector_postings(vectors: DataFrame, qlist: list[str]) -> DataFrame:
+    """``(term, tf, qtf)`` of every entry of ``vectors``; ``qtf`` holds the TFs of the
+    query terms in the same document, NULL when it has none of them."""
+    vec = vectors.select("len", "terms", F.filter("terms", lambda e: e["term"].isin(qlist)).alias("hits"))
+    lenf = F.col("len").cast("double")
+    # tf of every query term in this document (0 when absent)
+    qtf = F.when(
+        F.size("hits") > 0,
+        F.array(
+            *[
+                F.coalesce(F.get(F.filter("hits", _term_is(q)), 0)["n"] / lenf, F.lit(0.0))
+                for q in qlist
+            ]
+        ),
+    )
+    return explode_terms(vec.select("len", "terms", qtf.alias("qtf")), "terms", "e").select(
+        F.col("e.term").alias("term"),
+        (F.col("e.n") / F.col("len").cast("double")).alias("tf"),
+        "qtf",
+    )
+
+
+def wide_dots(vectors: DataFrame, qlist: list[str]) -> DataFrame:
+    """``(query, term, dot)`` of up to ``WIDE_QUERY_MAX`` query terms from document
+    vectors ``(len, terms)``, products formed in the row (no join)."""
+    agg, _ = _wide_aggregate(_vector_postings(vectors, qlist), qlist)
+    pairs = _wide_pairs(agg, qlist, F.col("df") > 0, ["term"])
+    return pairs.select(F.col("d.query").alias("query"), "term", F.col("d.dot").alias("dot"))
+
+
 def _wide_aggregate(postings: DataFrame, qlist: list[str]):
     """``(term, tf, qtf)`` rows -> ``(agg, qmap)``: the aggregate keyed by term
     (``df``, ``sumsq``, ``dot0..``) and, as a scalar subquery over the same
@@ -468,17 +480,43 @@ def cosine_pairs(
 ) -> DataFrame:
     """``(term1, term2, similarity)`` for given term pairs: 1.0 for a term and
     itself, 0.0 for terms that share no document, NULL when a term is unknown or
-    its vector has norm 0 (the cosine is not defined there)."""
-    firsts = pairs.select(F.col("term1").alias("query"))
-    sims = query_similarities(corpus, firsts, pattern, length, None, check_ids).select(
-        F.col("query").alias("term1"), F.col("term").alias("term2"), "similarity"
-    )
-    asked = pairs.select(F.col("term1").alias("term")).union(pairs.select("term2")).distinct()
+    its vector has norm 0 (the cosine is not defined there).
+
+    Only products that were asked for are formed. The postings of the asked terms
+    are shuffled once, by document; statistics and both sides of the products read
+    that exchange, so the text is scanned once. A pair starts from its rarer term:
+    the postings of that term meet the pair list, and the result meets the postings
+    of the other term on (document, term), where no key is hot. The price is the sum
+    over pairs of the rarer term's documents, whatever else these documents hold.
+    The result has one row per row of ``pairs``.
+    """
     n_docs = corpus_size(corpus, check_ids).scalar()
-    stats = term_stats(term_frequencies(corpus, pattern, length)).where(F.col("df") < n_docs)
-    usable = asked.join(stats, "term", "left_semi")
-    one = usable.select(F.col("term").alias("term1"), F.lit(True).alias("_known1"))
-    two = usable.select(F.col("term").alias("term2"), F.lit(True).alias("_known2"))
-    rows = pairs.select("term1", "term2").join(sims, ["term1", "term2"], "left").join(one, "term1", "left").join(two, "term2", "left")
-    cosine = F.when(F.col("_known1") & F.col("_known2"), F.when(F.col("term1") == F.col("term2"), F.lit(1.0)).otherwise(F.coalesce("similarity", F.lit(0.0))))
-    return rows.select("term1", "term2", rounded(cosine).alias("similarity"))
+    # NULL terms are known to no corpus; a non-nullable key infers no filter
+    given = pairs.select("term1", "term2", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")).alias(f"_{c}") for c in ("term1", "term2")])
+    wanted = given.select("_term1", "_term2").distinct()
+    asked = wanted.select(F.col("_term1").alias("term")).union(wanted.select("_term2")).distinct()
+    tf = term_frequencies(corpus, pattern, length).select("doc_id", F.concat(F.lit("="), F.col("term")).alias("term"), "tf")
+    post = tf.join(asked, "term", "left_semi").select("doc_id", "term", "tf").repartition("doc_id")
+    # doc_id is read here too, which keeps this copy of the exchange like the others
+    stats = post.groupBy("term").agg(
+        F.count(F.struct("doc_id")).alias("df"), F.sum(F.col("tf") * F.col("tf")).alias("sumsq")
+    )
+    stats = stats.where(F.col("df") < n_docs)
+    one = stats.select(F.col("term").alias("_term1"), F.col("df").alias("df1"), F.col("sumsq").alias("ss1"))
+    two = stats.select(F.col("term").alias("_term2"), F.col("df").alias("df2"), F.col("sumsq").alias("ss2"))
+    known = wanted.join(one, "_term1").join(two, "_term2")
+    swap = F.col("df2") < F.col("df1")
+    routed = known.where(F.col("_term1") != F.col("_term2")).select(
+        "_term1",
+        "_term2",
+        F.when(swap, F.col("_term2")).otherwise(F.col("_term1")).alias("rare"),
+        F.when(swap, F.col("_term1")).otherwise(F.col("_term2")).alias("other"),
+    )
+    from_rare = post.select("doc_id", F.col("term").alias("rare"), "tf").join(routed, "rare")
+    met = from_rare.join(post.select("doc_id", F.col("term").alias("other"), F.col("tf").alias("tf2")), ["doc_id", "other"])
+    dots = met.groupBy("_term1", "_term2").agg(F.sum(F.col("tf") * F.col("tf2")).alias("dot"))
+    cosine = F.when(F.col("_term1") == F.col("_term2"), F.lit(1.0)).otherwise(
+        F.coalesce(F.col("dot") / (F.sqrt("ss1") * F.sqrt("ss2")), F.lit(0.0))
+    )
+    scored = known.join(dots, ["_term1", "_term2"], "left").select("_term1", "_term2", rounded(cosine).alias("similarity"))
+    return given.join(scored, ["_term1", "_term2"], "left").select("term1", "term2", "similarity")

@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 
 from termsim.functions.text import DEFAULT_PATTERN
 from termsim.operators.compare import TOLERANCE, similarity_diff
+from termsim.operators.frequencies import corpus_size, document_vectors, explode_terms, term_frequencies
 from termsim.operators.lookup import QueryInput, query_frame, similar_terms, terms_not_found
 from termsim.operators.report import report_lines, write_report, write_table
 from termsim.operators.similarity import matrix_axis, similarity_matrix
+from termsim.operators.weights import tfidf
+from termsim.plans.materialize import materialize
+from termsim.sources.corpus import DOCUMENT_ROWS, corpus_shape
 
 
 @dataclass
@@ -76,6 +80,26 @@ def write_matrix(cells: DataFrame, axis: DataFrame, out_dir: str, mode: str = "o
     write_table(axis, f"{out_dir}/axis", mode)
 
 
+def tfidf_job(
+    corpus: DataFrame,
+    pattern: str | None = DEFAULT_PATTERN,
+    length: str = "filtered",
+    check_ids: bool = True,
+    folder: str | None = None,
+) -> DataFrame:
+    """``(term, doc_id, tf, idf, w)`` from one scan of the text: the counted
+    documents are written once, and the corpus size, the document frequencies and
+    the weights are read from there (only the columns that each needs)."""
+    if corpus_shape(corpus) == DOCUMENT_ROWS:
+        vectors = materialize(document_vectors(corpus, pattern, length).select("doc_id", "len", "terms"), "vectors", folder)
+        tf = explode_terms(vectors, "terms", "e").select(
+            "doc_id", F.col("e.term").alias("term"), (F.col("e.n") / F.col("len").cast("double")).alias("tf")
+        )
+        return tfidf(tf, corpus_size(vectors.select("doc_id", "terms"), check_ids))
+    tf = materialize(term_frequencies(corpus, pattern, length).select("doc_id", "term", "tf"), "frequencies", folder)
+    return tfidf(tf, corpus_size(corpus))
+
+
 def check_job(left: DataFrame, right: DataFrame, tol: float = TOLERANCE) -> DataFrame:
     """Per-term verdicts of the comparison of two similarity tables."""
     return similarity_diff(left, right, tol)

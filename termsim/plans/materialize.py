@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from termsim.session import checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under ``<spark.checkpoint.dir>/termsim/<name>-<id>`` and
-    return the table read back. Raises if the session names no checkpoint
-    folder (a machine-local temporary folder is not safe on a cluster)."""
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` under ``<folder>/termsim/<name>-<id>`` (default folder:
+    ``spark.checkpoint.dir``) and return the table read back. Raises if there is
+    neither (a machine-local temporary folder is not safe on a cluster)."""
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
+    base = folder or checkpoint_dir(spark)
     if not base:
         raise ValueError("set spark.checkpoint.dir (a shared folder) to materialize tables")
     path = f"{base.rstrip('/')}/termsim/{name}-{uuid.uuid4().hex}"
