@@ -16,10 +16,14 @@ Method
 4. Members of lists that still hold several components are compared on their
    full sets, by an exact prefix filter: a set must share ``percent`` of its
    shingles with a partner, so it meets partners in the lists of its rarest
-   ``n - ceil(percent n) + 1`` shingles; shingles of one member alone count
-   against both sides of a pair, which ends most pairs of a large group of loose
-   copies before they are formed. Each pair of different components comes up
-   once, then is filtered and verified like those of the star.
+   ``n - ceil(percent n) + 1`` shingles. First each list's member with the most
+   common shingles, the likely origin of a group of loose copies, meets all members
+   of other components. Then each remaining pair of different components comes up
+   in the first list that both are in, and only if it can still be over the
+   threshold: shingles of one member alone, and those that stand before the place
+   of the first meeting, count against the pair. This ends nearly all pairs of a
+   group of loose copies before they are formed. What is left is filtered and
+   verified like the pairs of the star.
 
 Exactness: the verification is exact (up to 64-bit hash equality). Both bounds
 on sketches are more than seven standard deviations of a bottom-k estimate wide
@@ -57,6 +61,8 @@ PERCENT = 85
 LIST_SLACK = 0.35
 ESTIMATE_SLACK = 0.30
 SALTS = 64
+#: Shingles before its place that a row of a list carries.
+NEAR = 64
 
 _SIGN = np.uint64(1 << 63)
 
@@ -106,19 +112,19 @@ def _sketch_batches(n: int, k: int):
 def sketches(docs: DataFrame, n: int = SHINGLE, k: int = K) -> DataFrame:
     """``(doc_id, n_shingles, s1, s2, sketch)``: set size, a 128-bit signature of
     the whole set and its ``k`` smallest values."""
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _sketch_batches(n, k), "doc_id long, n_shingles long, s1 long, s2 long, sketch array<bigint>"
     )
 
 
-def list_members(classes: DataFrame, fraction: float) -> DataFrame:
+def list_members(classes: DataFrame, fraction: float, k: int = K) -> DataFrame:
     """``(v, id, n)``: the inverted lists (two members at least) in which a class
     must look for partners."""
     values = classes.where("n > 0").select("id", "n", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     hits = values.join(shared, "v")
     per = hits.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("hits"))
-    least = F.greatest(F.lit(1), F.floor(F.least(F.col("n"), F.lit(K)) * fraction).cast("int"))
+    least = F.greatest(F.lit(1), F.floor(F.least(F.col("n"), F.lit(k)) * fraction).cast("int"))
     need = F.size("hits") - least + 1  # values of one member only come before all others
     prefix = per.where(need > 0).select("id", "n", F.explode(F.slice("hits", F.lit(1), F.greatest(need, F.lit(0)))).alias("h"))
     return prefix.select(F.col("h.v").alias("v"), "id", "n")
@@ -135,36 +141,62 @@ def _set_batches(n: int):
     return run
 
 
-def cross_pairs(texts: DataFrame, label: DataFrame, percent: int, n: int) -> DataFrame:
-    """Pairs ``(a, b)`` of different components ``label(id, c)`` that the exact
-    prefix filter on full sets leaves."""
-    sets = texts.join(label.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_set_batches(n), "id long, s array<bigint>")
+def full_members(texts: DataFrame, ids: DataFrame, percent: int, n: int) -> DataFrame:
+    """``(id, n, alone, weight, prefix)`` of the rows ``ids`` on their full sets, without
+    those that cannot have a partner: shingles of this member alone, how common the
+    others are, and the rarest of them in which it must meet every partner."""
+    sets = texts.join(ids.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_set_batches(n), "id long, s array<bigint>")
     sets = written(sets.select("id", F.size("s").alias("n"), "s"), "full-sets")
     values = sets.select("id", "n", F.explode("s").alias("v"))
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     per = values.join(shared, "v").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("hits"))
     alone = F.col("n") - F.size("hits")
     length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1 - alone
-    member = (
-        per.where(length > 0)
-        .select("id", "n", alone.alias("alone"), F.transform(F.slice("hits", F.lit(1), F.greatest(length, F.lit(0))), lambda h: h["v"]).alias("prefix"))
-        .join(label, "id")
+    prefix = F.transform(F.slice("hits", F.lit(1), F.greatest(length, F.lit(0))), lambda h: h["v"])
+    weight = F.aggregate("hits", F.lit(0).cast("long"), lambda total, h: total + h["df"])
+    return written(per.where(length > 0).select("id", "n", alone.alias("alone"), weight.alias("weight"), prefix.alias("prefix")), "full-members")
+
+
+def central_pairs(member: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)``: in each list the member with the most common shingles, the
+    likely origin of copies, and every member of another component."""
+    lists = member.join(label, "id").select(F.explode("prefix").alias("v"), "id", "n", "weight", "c")
+    pivot = lists.groupBy("v").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("id").alias("a"), F.col("n").alias("m"), F.col("c").alias("pc"))).alias("p"))
+    met = lists.join(pivot, "v").select(F.col("p.a").alias("a"), F.col("p.m").alias("m"), F.col("p.pc").alias("pc"), F.col("id").alias("b"), "n", "c")
+    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    return met.where((F.col("c") != F.col("pc")) & fits).select("a", "b").distinct()
+
+
+def cross_pairs(member: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components ``label(id, c)`` that the exact
+    prefix and positional filters leave.
+
+    Shingles have one order (rarest first). When two members first meet at places
+    ``i`` and ``j`` of their prefixes, all that stands before is in one of them only,
+    so they share at most ``min(n - alone - i, n' - alone' - j)``. A row carries the
+    ``NEAR`` shingles before its place: a pair that has met just before is not formed
+    again, one that has met long before is, with a bound that may be too low; it then
+    has been kept or dropped at its first meeting."""
+    place = F.sequence(F.lit(0), F.size("prefix") - 1)
+    entry = lambda i: F.struct(
+        F.get("prefix", i).alias("v"), i.alias("i"), F.slice("prefix", F.greatest(i - (NEAR - 1), F.lit(1)), F.least(i, F.lit(NEAR))).alias("near")
     )
-    lists = written(member.select(F.explode("prefix").alias("v"), "id", "n", "alone", "c", "prefix"), "full-lists")
+    cut = member.join(label, "id").select("id", "n", "alone", "c", F.explode(F.transform(place, entry)).alias("e"))
+    lists = written(cut.select("e.v", "id", "n", "c", (F.col("n") - F.col("alone") - F.col("e.i")).alias("left"), "e.near"), "full-lists")
     # the members outside a list's largest component meet all others
     sizes = lists.groupBy("v", "c").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("v").agg(F.max(F.struct("size", "c"))["c"].alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1")
     other = lists.join(largest.select("v", "major"), "v")
-    minor = other.where("c != major").select(*[F.col(x).alias(x + "_") for x in ("v", "id", "n", "alone", "c", "prefix")])
-    most = F.least(F.col("n") - F.col("alone"), F.col("n_") - F.col("alone_"))
+    minor = other.where("c != major").select(*[F.col(x).alias(x + "_") for x in ("v", "id", "n", "c", "left", "near")])
+    most = F.least("left", "left_")
     within = (
         (F.col("c") != F.col("c_"))
         & ((F.col("c") == F.col("major")) | (F.col("id_") < F.col("id")))  # two minor members: once
         & (100 * most >= percent * (F.col("n") + F.col("n_") - most))
-        & (F.get(F.array_intersect("prefix", "prefix_"), F.lit(0)) == F.col("v"))  # in their first common list
+        & ~F.arrays_overlap("near", "near_")
     )
     met = minor.join(other, (F.col("v") == F.col("v_")) & within)
-    return met.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b"))
+    return met.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct()
 
 
 def _similar_sketches(pairs: DataFrame, classes: DataFrame, least: float, k: int) -> DataFrame:
@@ -229,11 +261,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = SHINGLE, k
         .select("id", F.col("n_shingles").alias("n"), "s1", "s2", "sketch"),
         "classes",
     )
-    members = written(list_members(classes, threshold - LIST_SLACK), "lists")
+    members = written(list_members(classes, threshold - LIST_SLACK, k), "lists")
     in_lists = members.select("id").distinct()
     sketch_of = written(classes.join(in_lists, "id", "left_semi").select("id", "sketch"), "list-sketches")
     texts = written(
-        docs.select(F.col("doc_id").alias("id"), "text").join(in_lists, "id", "left_semi"), "list-texts"
+        docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(in_lists, "id", "left_semi"), "list-texts"
     )
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -257,8 +289,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, n: int = SHINGLE, k
     label = label.select("v", "id", F.coalesce("component", "id").alias("c"))
     mixed = label.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("v")
     label = written(label.join(mixed, "v", "left_semi").select("id", "c").distinct(), "mixed-members")
-    rest = cross_pairs(texts, label, percent, n).join(star.select("a", "b").distinct(), ["a", "b"], "left_anti")
-    all_links = first.union(links(rest))
+    member = full_members(texts, label, percent, n)
+    second = written(links(central_pairs(member, label, percent)), "links")
+    linked = first.union(second)
+    found = components(linked)
+    label = label.select("id").join(found.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left")
+    label = written(label.select("id", F.coalesce("component", "id").alias("c")), "mixed-members")
+    all_links = linked.union(links(cross_pairs(member, label, percent)))
     found = components(all_links)
 
     merged = of_id.join(found, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("component_id"))

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from termsim.llm import near_dedup
 from termsim.llm.components import components
 from termsim.llm.near_dedup import near_duplicates
 
@@ -55,6 +56,46 @@ def test_group_of_loose_copies(spark):
     assert 30 < sum(not r[3] for r in expected) < len(rows) - 10
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_large_group_forms_few_pairs(spark, monkeypatch, percent):
+    """Copies of one text with up to a third of it changed: the pairs that are formed
+    grow with the group, not with its square, and no link is lost."""
+    rng = random.Random(percent)
+    words = [f"base{k}" for k in range(150)]
+    rows = [(i, " ".join(mutated(rng, words, rng.randrange(12)))) for i in rng.sample(range(10**6), 600)]
+    counts, plain = [], near_dedup._similar_sketches
+
+    def counted(pairs, *more):
+        counts.append(pairs.count())
+        return plain(pairs, *more)
+
+    monkeypatch.setattr(near_dedup, "_similar_sketches", counted)
+    want = brute(rows, percent)
+    assert run(spark, rows, percent=percent) == want
+    assert len({w[2] for w in want}) > 50  # many stay alone
+    assert counts[-1] < 300 and sum(counts) < 10 * len(rows), counts
+
+
+def test_small_sketches(spark):
+    """A sketch of fewer values asks for fewer shared ones."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(20):
+        words = [f"d{k}w{j}" for j in range(300)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(mutated(rng, words, 2)))]
+    want = brute(rows)
+    assert sum(w[3] for w in want) == 20
+    for k in (16, 64):
+        assert run(spark, rows, k=k) == want
+
+
+def test_int_ids_and_long_texts(spark):
+    long = [f"w{k}" for k in range(30_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:29_000])), (3, " ".join(long[:20_000])), (4, None)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id int, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)
+
+
 def test_chain_of_steps(spark):
     rng = random.Random(5)
     words = [f"a{i}" for i in range(200)]
