@@ -11,10 +11,13 @@ Method
    occurrences in shard ``i``, a phrase with ``SUPPORT`` occurrences has at least
    ``SUPPORT N_i / N`` of them in some shard: the local support.
 2. Each shard is mined completely, word by word longer: counts of words, of two-word
-   phrases whose words are locally frequent, of three-word phrases whose two halves
-   are. A shard is not a task: its counts are one distributed aggregate.
-3. The locally frequent phrases of all shards are united, and one more pass counts
-   every one of them over all texts exactly.
+   phrases whose words are locally frequent somewhere, of three-word phrases whose
+   two halves are. A shard is not a task: its counts are a column of one distributed
+   aggregate.
+3. The phrases that reach the local support of any shard are united: the candidates.
+   A candidate has been counted in every shard, also where it is rare (whether a
+   phrase is counted depends on its words, not on the shard), so the sum over the
+   shards is its exact count, without another pass over the texts.
 "Is locally frequent" is asked of a bitmap of fixed size (``FILTER_BITS``) that is
 sent to the tasks. It knows every frequent phrase and may let others pass, which then
 are counted too and fall below the support: no count ever depends on it. On corpora
@@ -91,39 +94,36 @@ def _turn(x: np.ndarray, n: int) -> np.ndarray:
     return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
 
 
-_SALT = mix(np.arange(1, 65, dtype=np.uint64))
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    out = parts[0]
+    for k, p in enumerate(parts[1:], 1):
+        out = out ^ _turn(p, 21 * k)
+    return out
 
 
-def _slots(parts: list[np.ndarray], salt: np.ndarray | int, bits: int):
+def _slots(parts: list[np.ndarray], bits: int):
     """The two places of phrases in the bitmap (:func:`_slot_columns` in numpy)."""
-    z = parts[0] ^ salt
-    for k, p in enumerate(parts[1:], 1):
-        z = z ^ _turn(p, 21 * k)
-    mask = np.uint64(bits - 1)
+    z, mask = _joined(parts), np.uint64(bits - 1)
     return z & mask, (z >> np.uint64(32)) & mask
 
 
-def _slot_columns(parts: list[Column], salt: Column, bits: int) -> Column:
-    z = parts[0].bitwiseXOR(salt)
+def _slot_columns(parts: list[Column], bits: int) -> Column:
+    z = parts[0]
     for k, p in enumerate(parts[1:], 1):
-        turned = F.shiftleft(p, 21 * k).bitwiseOR(F.shiftrightunsigned(p, 64 - 21 * k))
-        z = z.bitwiseXOR(F.coalesce(turned, F.lit(0)))
+        z = z.bitwiseXOR(F.shiftleft(p, 21 * k).bitwiseOR(F.shiftrightunsigned(p, 64 - 21 * k)))
     return F.array(z.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(z, 32).bitwiseAND(F.lit(bits - 1)))
 
 
-def _known(bitmap: np.ndarray, parts: list[np.ndarray], salt) -> np.ndarray:
+def _known(bitmap: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
     found = np.ones(len(parts[0]), dtype=bool)
-    for slot in _slots(parts, salt, 8 * len(bitmap)):
+    for slot in _slots(parts, 8 * len(bitmap)):
         found &= (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return found
 
 
 def _added_up(parts: list[np.ndarray], counts: np.ndarray):
     """Equal phrases together: ``(parts, counts[phrase, shard], first place)``."""
-    key = parts[0]
-    for k, p in enumerate(parts[1:], 1):
-        key = key ^ _turn(p, 21 * k)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(_joined(parts), kind="stable")
     parts = [p[order] for p in parts]
     new = np.ones(len(order), dtype=bool)
     new[1:] = np.logical_or.reduce([p[1:] != p[:-1] for p in parts])
@@ -226,37 +226,26 @@ def _count_words(seed: int, shards: int):
     return run
 
 
-def _count_phrases(sizes: tuple[int, ...], seed: int, shards: int, bitmap, local: bool):
-    """Counts of the phrases of ``sizes`` words. ``local``: by shard, of those whose
-    shorter halves are locally frequent. Else: of those that the bitmap knows."""
-
+def _count_phrases(n: int, seed: int, shards: int, bitmap):
+    """Counts by shard of the ``n``-word phrases whose two shorter halves the bitmap knows."""
     one = np.eye(shards, dtype=np.int32)
 
     def run(batches):
-        bits = np.frombuffer(bitmap.value, np.uint8)
-        held = {n: _Held() for n in sizes}
+        bits, held = np.frombuffer(bitmap.value, np.uint8), _Held()
 
-        def sent(n):
-            parts, counts = held[n].take()
-            out = {f"h{k + 1}": _ints(parts[k]) if k < n else pa.nulls(len(counts), pa.int64()) for k in range(max(sizes))}
-            yield from _rows(out | _count_columns(counts))
+        def sent():
+            parts, counts = held.take()
+            yield from _rows({f"h{k + 1}": _ints(p) for k, p in enumerate(parts)} | _count_columns(counts))
 
         for *_, joined, h, s, _ in _parsed(batches, seed):
-            for n in sizes:
-                at, parts = _grams(h, joined, n)
-                if local:
-                    salt = _SALT[s[at]]
-                    keep = _known(bits, parts[:-1], salt)
-                    keep &= _known(bits, parts[1:], salt)
-                else:
-                    keep = _known(bits, parts, np.uint64(0))
-                parts, counts, _ = _added_up([p[keep] for p in parts], one[s[at][keep] if local else np.zeros(int(keep.sum()), np.int64)])
-                held[n].add(parts, counts)
-                if held[n].full():
-                    yield from sent(n)
-        for n in sizes:
-            if held[n].size:
-                yield from sent(n)
+            at, parts = _grams(h, joined, n)
+            keep = _known(bits, parts[:-1]) & _known(bits, parts[1:])
+            parts, counts, _ = _added_up([p[keep] for p in parts], one[s[at][keep]])
+            held.add(parts, counts)
+            if held.full():
+                yield from sent()
+        if held.size:
+            yield from sent()
 
     return run
 
@@ -279,14 +268,6 @@ def _bitmap(spark, slots: DataFrame, bits: int):
     return spark.sparkContext.broadcast(bytes(whole))
 
 
-def _local_slots(counted: DataFrame, words: int, least: list[int], bits: int) -> DataFrame:
-    """Places of the phrases of each shard that reach its local support."""
-    salts = _SALT.view(np.int64).tolist()
-    parts = [F.col(f"h{k + 1}") for k in range(words)]
-    where = [F.when(F.col(f"c{k}") >= t, _slot_columns(parts, F.lit(salts[k]), bits)) for k, t in enumerate(least)]
-    return counted.select(F.flatten(F.array_compact(F.array(*where))).alias("slots"))
-
-
 def _vocabulary(rows: DataFrame, shards: int, seeds: int = 4) -> tuple[DataFrame, int]:
     """``(h1, lang, word, c0..)`` of every distinct word, and the seed of its hashes."""
     counts = ", ".join(f"c{k} long" for k in range(shards))
@@ -313,20 +294,19 @@ def phrase_counts(docs: DataFrame, support: int = SUPPORT, shards: int = SHARDS,
 
     counts = [f"c{k}" for k in range(shards)]
     schema = ", ".join(f"{c} long" for c in counts)
-    frequent, united = vocabulary, []
+    reached = F.exists(F.array(*[F.col(c) >= t for c, t in zip(counts, least, strict=True)]), lambda x: x)
+    total = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
+    shorter, found = vocabulary.where(reached), []
     for n in (2, 3):
-        known = _bitmap(spark, _local_slots(frequent, n - 1, least, bits), bits)
         keys = [f"h{k + 1}" for k in range(n)]
-        made = rows.mapInArrow(_count_phrases((n,), seed, shards, known, True), ", ".join(f"{h} long" for h in keys) + ", " + schema)
+        known = _bitmap(spark, shorter.select(_slot_columns([F.col(h) for h in keys[:-1]], bits).alias("slots")), bits)
+        made = rows.mapInArrow(_count_phrases(n, seed, shards, known), ", ".join(f"{h} long" for h in keys) + ", " + schema)
         local = made.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
-        reached = F.array(*[F.col(c) >= t for c, t in zip(counts, least, strict=True)])
-        frequent = written(local.where(F.exists(reached, lambda x: x)), f"phrase-local-{n}")
-        united.append(frequent.select(_slot_columns([F.col(h) for h in keys], F.lit(0), bits).alias("slots")))
-    known = _bitmap(spark, united[0].unionByName(united[1]), bits)
-    made = rows.mapInArrow(_count_phrases((2, 3), seed, 1, known, False), "h1 long, h2 long, h3 long, c0 long")
-    exact = made.groupBy("h1", "h2", "h3").agg(F.sum("c0").alias("a")).where(F.col("a") >= support)
-    words = vocabulary.select("h1", "lang", "word", sum((F.col(c) for c in counts), F.lit(0)).cast("long").alias("f"))
-    return words, written(exact, "phrase-counts")
+        shorter = written(local.where(reached), f"phrase-candidates-{n}")
+        exact = shorter.where(total >= support)
+        found.append(exact.select("h1", "h2", (F.col("h3") if n == 3 else F.lit(None).cast("long")).alias("h3"), total.alias("a")))
+    words = vocabulary.select("h1", "lang", "word", total.alias("f"))
+    return words, found[0].unionByName(found[1])
 
 
 def _score(a: str, left: str, right: str) -> Column:
