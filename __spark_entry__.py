@@ -469,7 +469,7 @@ k AS (SELECT term, CAST(row_number() OVER (ORDER BY term) AS INTEGER) AS id FROM
 x AS (SELECT id, doc_id, w / norm AS x FROM u JOIN k USING (term)),
 c AS (SELECT a.id AS a, b.id AS b, sum(a.x * b.x) AS s FROM x a JOIN x b ON a.doc_id = b.doc_id AND a.id <> b.id GROUP BY 1, 2),
 r AS (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY round(s, 9) DESC, b) AS rank FROM c WHERE s > 0 QUALIFY rank <= {n})
-SELECT ka.term AS query, CAST(rank AS INTEGER) AS rank, kb.term AS term, round(s, 6) AS similarity
+SELECT ka.term AS query, CAST(rank AS INTEGER) AS rank, kb.term AS term, round(round(s, 9), 6) AS similarity
 FROM r JOIN k ka ON ka.id = a JOIN k kb ON kb.id = b"""
 
 
