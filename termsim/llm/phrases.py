@@ -57,8 +57,10 @@ TOP = 2000
 SHARDS = 3
 FILTER_BITS = 1 << 27
 #: Phrases that a task holds before it adds up equal ones.
-HELD = 1_000_000
+HELD = 400_000
 _ROWS = 100_000
+#: Texts whose bytes are copied at a time.
+_BATCH = 1000
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09]] = True
@@ -172,7 +174,7 @@ def _grams(hashes, joined, n: int):
 def _parsed(batches, seed: int):
     """Per bounded chunk of rows: ``(data, starts, ends, row, joined, hashes, shard, langs)``."""
     salt = mix(np.array([seed], np.uint64))
-    for batch in batches:
+    for batch in (b.slice(k, _BATCH) for b in batches for k in range(0, b.num_rows, _BATCH)):
         data, offsets = text_buffers(batch.column(1))
         lang_hash = mix(batch.column(2).to_numpy().astype(np.int64).view(np.uint64) ^ salt)
         shard = batch.column(3).to_numpy().astype(np.int64)
