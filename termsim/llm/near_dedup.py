@@ -62,7 +62,7 @@ LIST_SLACK = 0.35
 ESTIMATE_SLACK = 0.30
 SALTS = 64
 #: Shingles before its place that a row of a list carries.
-NEAR = 64
+NEAR = 6
 
 _SIGN = np.uint64(1 << 63)
 
