@@ -34,7 +34,7 @@ from termsim.operators.frequencies import (
     explode_terms,
     term_frequencies,
 )
-from termsim.operators.similarity import rounded
+from termsim.operators.similarity import rounded, within_row_products
 from termsim.operators.weights import idf, term_stats
 from termsim.sources.corpus import DOCUMENT_ROWS, corpus_shape
 
@@ -54,6 +54,9 @@ SMALL_QUERY_LIST = 1000
 # (query, term) rows.
 WIDE_QUERY_MAX = 64
 
+# Up to this many terms of a pair list meet inside the rows of the documents.
+PAIR_TERMS_MAX = 256
+
 
 # --------------------------------------------------------------------------
 # queries
@@ -482,12 +485,16 @@ def cosine_pairs(
     itself, 0.0 for terms that share no document, NULL when a term is unknown or
     its vector has norm 0 (the cosine is not defined there).
 
-    Only products that were asked for are formed. The postings of the asked terms
-    are shuffled once, by document; statistics and both sides of the products read
-    that exchange, so the text is scanned once. A pair starts from its rarer term:
-    the postings of that term meet the pair list, and the result meets the postings
-    of the other term on (document, term), where no key is hot. The price is the sum
-    over pairs of the rarer term's documents, whatever else these documents hold.
+    The asked terms are counted first, which runs a small job over ``pairs``. Up to
+    ``PAIR_TERMS_MAX`` of them are picked out of the rows of document-row corpora, their
+    products formed there, and only partial sums per asked pair are shuffled
+    (``_sums_in_rows``). Longer lists and occurrence rows: only products that were asked
+    for are formed. The postings of the asked terms are shuffled once, by document;
+    statistics and both sides of the products read that exchange, so the text is scanned
+    once. A pair starts from its rarer term: the postings of that term meet the pair
+    list, and the result meets the postings of the other term on (document, term), where
+    no key is hot. The price is the sum over pairs of the rarer term's documents,
+    whatever else these documents hold.
     The result has one row per row of ``pairs``.
     """
     n_docs = corpus_size(corpus, check_ids).scalar()
@@ -495,16 +502,26 @@ def cosine_pairs(
     given = pairs.select("term1", "term2", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")).alias(f"_{c}") for c in ("term1", "term2")])
     wanted = given.select("_term1", "_term2").distinct()
     asked = wanted.select(F.col("_term1").alias("term")).union(wanted.select("_term2")).distinct()
-    tf = term_frequencies(corpus, pattern, length).select("doc_id", F.concat(F.lit("="), F.col("term")).alias("term"), "tf")
-    post = tf.join(asked, "term", "left_semi").select("doc_id", "term", "tf").repartition("doc_id")
+    few = [r["term"] for r in asked.limit(SMALL_QUERY_LIST + 1).collect()]
+    if len(few) <= PAIR_TERMS_MAX and corpus_shape(corpus) == DOCUMENT_ROWS:
+        sums = _sums_in_rows(corpus, wanted, [t[1:] for t in few if t], pattern, length)
+        stats = sums.where(~F.col("is_pair") & (F.col("cnt") < n_docs)).select(F.col("a").alias("term"), F.col("cnt").alias("df"), F.col("total").alias("sumsq"))
+        known = _known_pairs(wanted, stats)
+        met = sums.where(F.col("is_pair") & (F.col("cnt") > 0)).select("a", "b", F.col("total").alias("dot"))
+        keyed = known.withColumns({"a": F.least("_term1", "_term2"), "b": F.greatest("_term1", "_term2")})
+        return _pair_cosines(given, keyed.join(met, ["a", "b"], "left"))
+    tf = term_frequencies(corpus, pattern, length)
+    if len(few) <= SMALL_QUERY_LIST:  # picked where the postings arise, none other is shuffled
+        tf = tf.where(F.col("term").isin([t[1:] for t in few if t]))
+    tf = tf.select("doc_id", F.concat(F.lit("="), F.col("term")).alias("term"), "tf")
+    if len(few) > SMALL_QUERY_LIST:
+        tf = tf.join(asked, "term", "left_semi")
+    post = tf.select("doc_id", "term", "tf").repartition("doc_id")
     # doc_id is read here too, which keeps this copy of the exchange like the others
     stats = post.groupBy("term").agg(
         F.count(F.struct("doc_id")).alias("df"), F.sum(F.col("tf") * F.col("tf")).alias("sumsq")
     )
-    stats = stats.where(F.col("df") < n_docs)
-    one = stats.select(F.col("term").alias("_term1"), F.col("df").alias("df1"), F.col("sumsq").alias("ss1"))
-    two = stats.select(F.col("term").alias("_term2"), F.col("df").alias("df2"), F.col("sumsq").alias("ss2"))
-    known = wanted.join(one, "_term1").join(two, "_term2")
+    known = _known_pairs(wanted, stats.where(F.col("df") < n_docs))
     swap = F.col("df2") < F.col("df1")
     routed = known.where(F.col("_term1") != F.col("_term2")).select(
         "_term1",
@@ -515,8 +532,37 @@ def cosine_pairs(
     from_rare = post.select("doc_id", F.col("term").alias("rare"), "tf").join(routed, "rare")
     met = from_rare.join(post.select("doc_id", F.col("term").alias("other"), F.col("tf").alias("tf2")), ["doc_id", "other"])
     dots = met.groupBy("_term1", "_term2").agg(F.sum(F.col("tf") * F.col("tf2")).alias("dot"))
+    return _pair_cosines(given, known.join(dots, ["_term1", "_term2"], "left"))
+
+
+def _known_pairs(wanted: DataFrame, stats: DataFrame) -> DataFrame:
+    """The pairs of which both terms have a vector, with their statistics."""
+    one = stats.select(F.col("term").alias("_term1"), F.col("df").alias("df1"), F.col("sumsq").alias("ss1"))
+    two = stats.select(F.col("term").alias("_term2"), F.col("df").alias("df2"), F.col("sumsq").alias("ss2"))
+    return wanted.join(one, "_term1").join(two, "_term2")
+
+
+def _pair_cosines(given: DataFrame, known: DataFrame) -> DataFrame:
+    """One row per given pair, from the known pairs with their dot products (NULL: none)."""
     cosine = F.when(F.col("_term1") == F.col("_term2"), F.lit(1.0)).otherwise(
         F.coalesce(F.col("dot") / (F.sqrt("ss1") * F.sqrt("ss2")), F.lit(0.0))
     )
-    scored = known.join(dots, ["_term1", "_term2"], "left").select("_term1", "_term2", rounded(cosine).alias("similarity"))
+    scored = known.select("_term1", "_term2", rounded(cosine).alias("similarity"))
     return given.join(scored, ["_term1", "_term2"], "left").select("term1", "term2", "similarity")
+
+
+def _sums_in_rows(corpus: DataFrame, wanted: DataFrame, terms: list[str], pattern: str | None, length: str) -> DataFrame:
+    """``(a, b, total, cnt, is_pair)`` of the wanted pairs (``a < b``, as in ``pair_sums``)
+    and of every term with itself: at most ``PAIR_TERMS_MAX`` entries of a document meet
+    in its row, so nothing but partial sums is shuffled."""
+    vec = document_vectors(corpus, pattern, length)
+    products = within_row_products(vec.select("len", F.filter("terms", lambda e: e["term"].isin(terms)).alias("terms")), "terms")
+    keyed = products.select(*[F.concat(F.lit("="), F.col(f"term{i}")).alias(c) for i, c in ((1, "a"), (2, "b"))], "prod")
+    each = wanted.select("_term1", "_term2").union(wanted.select("_term1", "_term1")).union(wanted.select("_term2", "_term2"))
+    ordered = each.select(F.least("_term1", "_term2").alias("a"), F.greatest("_term1", "_term2").alias("b")).distinct()
+    # at most PAIR_TERMS_MAX^2 rows
+    return keyed.join(F.broadcast(ordered), ["a", "b"], "left_semi").groupBy("a", "b").agg(
+        F.sum("prod").alias("total"),
+        F.count(F.lit(1)).alias("cnt"),
+        F.max(F.col("a") != F.col("b")).alias("is_pair"),
+    )
