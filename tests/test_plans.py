@@ -107,3 +107,29 @@ def test_weight_dots_for_a_list_needs_no_join(docs):
     text_scans = [ln for ln in final.splitlines() if "FileScan parquet" in ln and "text" in ln]
     assert len(text_scans) == 1, final
     assert "HashJoin" not in final and "SortMergeJoin" not in final, final
+
+
+def test_few_pairs_shuffle_no_postings(spark, monkeypatch):
+    """Up to PAIR_TERMS_MAX asked terms meet in the rows: no posting is shuffled, and the
+    longer plans give the same rows."""
+    from termsim.operators import lookup
+
+    docs = spark.createDataFrame(
+        [(1, ["a", "b", "a", "c"]), (2, ["a", "c", "d"]), (3, ["b", "b", "d"]), (4, ["c"]), (5, [])], "doc_id int, terms array<string>"
+    )
+    asked = [("a", "b"), ("b", "a"), ("a", "a"), ("c", "d"), ("a", "zzz"), (None, "a"), ("", "a"), ("a", "b")]
+    pairs = spark.createDataFrame(asked, "term1 string, term2 string")
+
+    def rows(corpus):
+        got = lookup.cosine_pairs(corpus, pairs, None, check_ids=False)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        return sorted((r["term1"] or "-", r["term2"], r["similarity"] or -1.0) for r in got.collect()), "hashpartitioning(doc_id" in plan
+
+    few, shuffled = rows(docs)
+    assert len(few) == len(asked) and not shuffled
+    joined, shuffled = rows(docs.select("doc_id", F.explode_outer("terms").alias("term")))
+    assert joined == few and shuffled
+    monkeypatch.setattr(lookup, "PAIR_TERMS_MAX", 0)
+    assert rows(docs) == (few, True)
+    monkeypatch.setattr(lookup, "SMALL_QUERY_LIST", 0)
+    assert rows(docs) == (few, True)
