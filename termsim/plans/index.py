@@ -13,7 +13,7 @@ against them. Here the reusable part is written once as parquet:
   block's contribution without reading it;
 * ``stats``: ``(term, df, sumsq)``.
 
-``blocks`` and ``stats`` are sorted by term. Each finished build appends one row
+The files of ``blocks`` and ``stats`` are sorted by term. Each finished build appends one row
 to ``builds``; lookups take the newest. A term's rows spread over all buckets, so
 no task ever holds a whole term.
 
@@ -108,33 +108,38 @@ def build_index(
         vec = document_vectors(corpus, pattern, length).select("doc_id", "len", "terms")
         _write_bucketed(vec, base, "vectors", buckets, ["doc_id"])
         # postings come from the written vectors: the corpus is tokenized once, and
-        # later jobs start from files, not from the scan
-        written = spark.read.schema(vec.schema).parquet(f"{base}/vectors")
+        # later jobs start from files, not from the scan; a task reads one bucket
+        written = spark.read.table(_table_name(base, "vectors"))
         tf = explode_terms(written, "terms", "e").select(
             "doc_id", F.col("e.term").alias("term"), (F.col("e.n") / F.col("len").cast("double")).alias("tf")
         )
     else:
         tf = term_frequencies(corpus, pattern, length).select("doc_id", "term", "tf")
     leveled = tf.withColumn("level", F.floor(-F.log2("tf") * F.lit(LEVELS)).cast("int"))
-    _write_bucketed(leveled, base, "postings", buckets, ["term", "level", "doc_id"])
+    _write_bucketed(leveled, base, "postings", buckets, ["term", "level", "doc_id"], dealt=shape == DOCUMENT_ROWS)
     blocks = spark.read.parquet(f"{base}/postings").groupBy("term", "level").agg(
         F.count(F.lit(1)).alias("rows"), F.max("tf").alias("max_tf"), F.sum(F.col("tf") * F.col("tf")).alias("sumsq")
     )
-    blocks.repartitionByRange("term", "level").sortWithinPartitions("term", "level").write.parquet(f"{base}/blocks")
+    # sorted within each file, where a lookup's few terms are pages; not shuffled again for it
+    blocks.sortWithinPartitions("term", "level").write.parquet(f"{base}/blocks")
     stats = spark.read.parquet(f"{base}/blocks").groupBy("term").agg(F.sum("rows").alias("df"), F.sum("sumsq").alias("sumsq"))
-    stats.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{base}/stats")
+    stats.sortWithinPartitions("term").write.parquet(f"{base}/stats")
     row = [((before["seq"] if before else 0) + 1, version, shape, n_docs, pattern, length, buckets, tf.schema["doc_id"].dataType.simpleString())]
     spark.createDataFrame(row, BUILDS).coalesce(1).write.mode("append").parquet(f"{path}/builds")
 
 
-def _write_bucketed(df: DataFrame, base: str, part: str, buckets: int, order: list[str]) -> None:
-    (
-        df.repartition(buckets, "doc_id")  # one file per bucket
-        .write.bucketBy(buckets, "doc_id")
-        .sortBy(*order)
-        .option("path", f"{base}/{part}")
-        .saveAsTable(_table_name(base, part))
-    )
+def _write_bucketed(df: DataFrame, base: str, part: str, buckets: int, order: list[str], dealt: bool = False) -> None:
+    """One file per bucket. ``dealt``: ``df`` is rows of a table with these buckets, which
+    is then read bucket by bucket and not shuffled again."""
+    rows = df if dealt else df.repartition(buckets, "doc_id")
+    spark, auto = df.sparkSession, "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(auto)
+    if dealt:  # else the scan ignores the buckets where no join or aggregate asks for them
+        spark.conf.set(auto, "false")
+    try:
+        rows.write.bucketBy(buckets, "doc_id").sortBy(*order).option("path", f"{base}/{part}").saveAsTable(_table_name(base, part))
+    finally:
+        spark.conf.set(auto, before)
 
 
 def _table_name(base: str, part: str) -> str:
@@ -409,10 +414,13 @@ def topn_index(
         going = [q for q in asked if not q.closed]
         if not going:
             break
+        # terms that cannot reach the threshold any more are not carried on; met again, one
+        # of them has a sum that is too small, but its whole sum would not be ranked either
+        carried = None if sums is None else _alive(sums, asked, known)
         part = [(q.term, *q.advance(share)) for q in going]
         new = _round_sums(index, part)
         if sums is not None:
-            new = sums.select(*new.columns).unionByName(new).groupBy("query", "term").agg(*[F.sum(c).alias(c) for c in ("dot", "seen", "seen_ss")])
+            new = carried.select(*new.columns).unionByName(new).groupBy("query", "term").agg(*[F.sum(c).alias(c) for c in ("dot", "seen", "seen_ss")])
         scored = _with_stats(index, new, known, search)
         number += 1
         scored.write.parquet(f"{folder}/{number}")

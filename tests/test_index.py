@@ -259,3 +259,26 @@ def test_topn_arguments(spark, doc_index):
         with pytest.raises(ValueError):
             topn_index(spark, path, ["the"], **bad)
     assert topn_index(spark, path, [], n=2).count() == 0
+
+
+def test_build_shuffles_no_postings(spark, tmp_path, monkeypatch):
+    """The postings are read from the buckets of the written vectors, one file each."""
+    from termsim.plans import index
+
+    seen, write = {}, index._write_bucketed
+    auto = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(auto)
+
+    def record(df, base, part, *rest, **more):
+        spark.conf.set(auto, "false")
+        seen[part] = df._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set(auto, before)
+        write(df, base, part, *rest, **more)
+        seen[f"{part} files"] = len(list((tmp_path / base.rsplit("/", 1)[1] / part).glob("*.parquet")))
+
+    monkeypatch.setattr(index, "_write_bucketed", record)
+    rows = [(d, [f"t{(d * k) % 11}" for k in range(1, 8)]) for d in range(40)]
+    build_index(spark.createDataFrame(rows, "doc_id int, terms array<string>"), str(tmp_path), pattern=None, buckets=5)
+    assert "Bucketed: true" in seen["postings"] and "Exchange" not in seen["postings"]
+    assert seen["vectors files"] == seen["postings files"] == 5
+    assert spark.conf.get(auto) == before
