@@ -12,7 +12,8 @@ term are ever formed. Three plans, by the shape of the input:
   rows in one aggregate keyed by both (``_one_pass_sums``);
 * a query DataFrame, or a longer list over occurrence rows: the query
   postings are joined with all postings on ``doc_id``; adaptive execution
-  picks broadcast or sort-merge from the real size of the query side.
+  picks broadcast or sort-merge from the real size of the query side. Occurrence
+  rows are divided by their term's norm before (``_unit_similarities``).
 
 Semantics kept from the reference: exact, case-sensitive match of the query
 term; only similarities > 0; the query term itself is not a result; the
@@ -303,7 +304,9 @@ def query_similarities(
     qlist = _distinct_list(queries)
     if qlist is not None and len(qlist) <= WIDE_QUERY_MAX:
         return _wide_similarities(corpus, qlist, pattern, length, search, n_docs)
-    if qlist is not None and corpus_shape(corpus) == DOCUMENT_ROWS:
+    if corpus_shape(corpus) != DOCUMENT_ROWS:
+        return _unit_similarities(corpus, queries, pattern, length, search, n_docs)
+    if qlist is not None:
         sums = _one_pass_sums(corpus, qlist, pattern, length)
         is_pair = F.col("is_pair")
         stats = sums.where(~is_pair).select(
@@ -320,10 +323,7 @@ def query_similarities(
     else:
         tf = term_frequencies(corpus, pattern, length)
         stats = term_stats(tf)
-        if qlist is not None:
-            qstats = stats.where(F.col("term").isin(qlist))
-        else:
-            qstats = stats.join(queries.select(F.col("query").alias("term")).distinct(), "term")
+        qstats = stats.join(queries.select(F.col("query").alias("term")).distinct(), "term")
         qstats = qstats.select(
             F.col("term").alias("query"), F.col("df").alias("df_q"), F.col("sumsq").alias("ss_q")
         )
@@ -350,6 +350,30 @@ def query_similarities(
     )
 
 
+def _unit_similarities(corpus: DataFrame, queries: QueryInput, pattern: str | None, length: str, search: str | None, n_docs) -> DataFrame:
+    """``(query, term, similarity)`` of occurrence rows, whose postings are shuffled in any
+    case: they are divided by their term's norm first, so the sums of products are the
+    similarities and no pair is shuffled again to meet statistics."""
+    tf = term_frequencies(corpus, pattern, length)
+    stats = term_stats(tf).where(F.col("df") < n_docs).select("term", "sumsq")
+    unit = tf.join(stats, "term").select("doc_id", "term", (F.col("tf") / F.sqrt("sumsq")).alias("u"))
+    qlist = _distinct_list(queries)
+    if qlist is not None:
+        marked = unit.withColumn("asked", F.col("term").isin(qlist))
+    else:
+        qterms = queries.select(F.col("query").alias("term")).distinct().withColumn("asked", F.lit(True))
+        marked = unit.join(qterms, "term", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+    qpost = marked.where(F.col("asked")).select("doc_id", F.col("term").alias("query"), F.col("u").alias("uq"))
+    # two query terms meet once, in the order of the terms
+    met = qpost.join(marked, "doc_id").where(~F.col("asked") | (F.col("query") < F.col("term")))
+    sums = met.groupBy("query", "term").agg(F.sum(F.col("uq") * F.col("u")).alias("similarity"), F.max("asked").alias("asked"))
+    found = sums.where(F.col("similarity") > 0)
+    there, back = F.struct("query", "term"), F.struct(F.col("term").alias("query"), F.col("query").alias("term"))
+    both = found.select(F.explode(F.when(F.col("asked"), F.array(there, back)).otherwise(F.array(there))).alias("p"), "similarity")
+    rows = both.select("p.query", "p.term", "similarity")
+    return rows if search is None else rows.where(F.col("term").rlike(search))
+
+
 # --------------------------------------------------------------------------
 # ranking (O27-O29)
 # --------------------------------------------------------------------------

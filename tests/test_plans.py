@@ -133,3 +133,20 @@ def test_few_pairs_shuffle_no_postings(spark, monkeypatch):
     assert rows(docs) == (few, True)
     monkeypatch.setattr(lookup, "SMALL_QUERY_LIST", 0)
     assert rows(docs) == (few, True)
+
+
+def test_occurrence_lookup_shuffles_pairs_twice(spark):
+    """Postings carry their term's norm: pairs are shuffled to be summed and to be ranked,
+    not to meet the statistics of either term."""
+    rows = [(d, f"t{(d * k) % 7}") for d in range(30) for k in range(1, 4)] + [(99, "t1"), (99, None)]
+    occ = spark.createDataFrame(rows, "doc_id int, term string")
+    qdf = spark.createDataFrame([(k, f"t{k}") for k in range(9)], "pos int, query string")
+    got = similar_terms(occ, qdf, pattern=None, n=3)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Aggregate [query")]  # what is above the sums of pairs
+    assert "Join" not in above
+    some = spark.createDataFrame([(k, f"t{k}") for k in (2, 2, 4, 8)], "pos int, query string")
+    for queries, names, search in ((qdf, range(9), None), (qdf, range(9), "[245]"), (some, (2, 4, 8), None), (some, (2, 4, 8), "[245]")):
+        got = similar_terms(occ, queries, pattern=None, n=3, search=search)
+        want = similar_terms(occ, [f"t{k}" for k in names], pattern=None, n=3, search=search)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
