@@ -38,7 +38,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,18 @@ PIECES = 400_000
 #: Stands before a piece that no space precedes (texts that hold it go whole).
 _MARK = "\x01"
 _STOPS = (_MARK + ",", _MARK + ".")
+#: Latin letters alone: after a space, one word of the tokenizer's first split.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
+_BYTES = _byte_letters()
 
 
 # --------------------------------------------------------------------------
@@ -225,13 +239,20 @@ class Encoder:
     A text is cut before single spaces, around line breaks and before full stops
     and commas: places where the tokenizer's own first split always cuts, as long
     as a stop or comma follows a letter or digit and no piece holds other white
-    space. A text with a piece that breaks this is encoded whole instead."""
+    space. A text with a piece that breaks this is encoded whole instead.
+
+    A piece of Latin letters after a space is one word to the first split, so it goes
+    to the library's BPE model without it. When the table is full, the pieces that
+    were met again since it last was stay."""
 
     def __init__(self, path: str, end_id: int | None = END_ID, pieces: int = PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = t = Tokenizer.from_file(path)
+        split = t.pre_tokenizer
+        plain_split = type(split) is pre_tokenizers.ByteLevel and split.use_regex and not split.add_prefix_space
+        self.words = t.model if t.normalizer is None and plain_split and type(t.model) is models.BPE else None
         self.end = [] if end_id is None else [end_id]
         self.limit = pieces
         (self.line_break,) = self._whole("\n")
@@ -249,8 +270,46 @@ class Encoder:
         self.odd, self.stop, self.open = (np.zeros(2, bool) for _ in range(3))
         self.known[()] = 0  # the end of a text
         self.known[_MARK + "\n"] = 1
+        self.again = np.zeros(2, bool)
+
+    def _shrink(self) -> None:
+        """Only pieces met again stay, if they leave half of the table free."""
+        stay = self.again.copy()
+        stay[:2] = True
+        if 2 * int(stay.sum()) > self.limit:
+            return self._reset()
+        rows = np.flatnonzero(stay)
+        keys = list(self.known)  # in the order of their rows
+        self.known = {keys[i]: k for k, i in enumerate(rows.tolist())}
+        size, first = self.size[rows], self.start[rows]
+        start = np.cumsum(size) - size
+        self.flat = self.flat[np.repeat(first - start, size) + np.arange(int(size.sum()))]
+        self.start, self.size = start, size
+        self.odd, self.stop, self.open = self.odd[rows], self.stop[rows], self.open[rows]
+        self.again = np.zeros(len(rows), bool)
+
+    def _add(self, new: list, size: np.ndarray, ids: np.ndarray, odd, stop, open_) -> None:
+        self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.flat = np.append(self.flat, ids)
+        self.odd, self.stop, self.open = np.append(self.odd, odd), np.append(self.stop, stop), np.append(self.open, open_)
+        self.again = np.append(self.again, np.zeros(len(new), bool))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+
+    def _learn_letters(self, new: list[str]) -> None:
+        written = (" " + "\n ".join(new)).encode().decode("latin-1").translate(_BYTES)
+        ids = [[t.id for t in self.words.tokenize(w)] for w in written.split(_BYTES[10])]
+        no = np.zeros(len(new), bool)
+        self._add(new, np.fromiter(map(len, ids), np.int64, len(new)), np.fromiter(chain.from_iterable(ids), np.uint32), no, no, no)
 
     def _learn(self, new: list) -> None:
+        if self.words is not None:
+            letters = [w for w in new if type(w) is str and _LETTERS.fullmatch(w)]
+            if letters:
+                self._learn_letters(letters)
+                new = list(set(new).difference(letters))
+        if not new:
+            return
         raw = [w[0] if type(w) is tuple else w[1:] if w[:1] == _MARK else " " + w for w in new]
         # white space inside, or a missing piece where two separators meet
         odd = [r.split() != [r.strip(" ")] or r[1:2] == " " for r in raw]
@@ -268,19 +327,14 @@ class Encoder:
             ids = np.delete(ids, cut)
         sizes = np.zeros(len(new), np.int64)
         sizes[~np.array(odd, bool)] = size
-        self.start = np.append(self.start, len(self.flat) + np.cumsum(sizes) - sizes)
-        self.size = np.append(self.size, sizes)
-        self.flat = np.append(self.flat, ids)
-        self.odd = np.append(self.odd, odd)
-        self.stop = np.append(self.stop, [type(w) is str and w[:2] in _STOPS for w in new])
-        self.open = np.append(self.open, [not r[-1:].isalnum() for r in raw])
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        stop = [type(w) is str and w[:2] in _STOPS for w in new]
+        self._add(new, sizes, ids, np.array(odd, bool), stop, [not r[-1:].isalnum() for r in raw])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(lengths, ids)``: the ids of all texts one after the other, each text
         closed by the end id."""
         if len(self.known) > self.limit:
-            self._reset()
+            self._shrink()
         words, counts, whole = [], [], []
         for k, t in enumerate(texts):
             if _MARK in t:
@@ -292,9 +346,11 @@ class Encoder:
             words += pieces
             counts.append(len(pieces))
         new = list(set(words).difference(self.known))
+        before = len(self.known)
         if new:
             self._learn(new)
         at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.again[at[at < before]] = True
         ends = np.cumsum(counts)
         bad = self.odd[at]
         bad[1:] |= self.stop[at[1:]] & self.open[at[:-1]]

@@ -94,3 +94,20 @@ def test_store(spark, library):
         texts[d].remove(e)
     assert not any(texts.values())
     assert ts.read_digests(ts.write_tokens(df.limit(0))).collect() == []
+
+
+def test_words_of_letters_go_to_the_model(library):
+    """Words of Latin letters need no first split, and what is met again is learned once."""
+    enc = ts.Encoder(ts.tokenizer_path(), pieces=60)
+    split, learned = enc._whole, []
+    enc._whole = lambda text: learned.append(text) or split(text)
+    letters = "the naïve Éclair totianing ervertzer ŒUVRE ÿĀɏ"
+    check(enc, library, [f"x {letters} the end"])
+    assert not any(w in text for text in learned for w in letters.split()[1:])
+    check(enc, library, [f"x {letters} ×÷ ªº µm it's don't a1 1a é ʼn ǅ 中文 ß!"])
+    known = len(enc.known)
+    check(enc, library, [f"x {letters}"])  # all met again
+    assert len(enc.known) <= known + 1
+    for k in range(5):  # the table overflows again and again, these words stay
+        check(enc, library, [f"x {letters} " + " ".join(f"w{c}{'a' * k}" for c in "bcdfghjklmnpqrstvwxz")])
+        assert "ervertzer" in enc.known and len(enc.known) <= 60 + 45
