@@ -150,3 +150,18 @@ def test_occurrence_lookup_shuffles_pairs_twice(spark):
         got = similar_terms(occ, queries, pattern=None, n=3, search=search)
         want = similar_terms(occ, [f"t{k}" for k in names], pattern=None, n=3, search=search)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_occurrence_matrix_shuffles_pairs_once(spark):
+    """Postings carry their term's norm: no pair meets the statistics of its terms."""
+    rows = [(d, f"t{(d * k) % 7}") for d in range(30) for k in range(1, 4)] + [(d, "all") for d in range(30)] + [(99, "all"), (99, None), (7, "t3")]
+    occ = spark.createDataFrame(rows, "doc_id int, term string")
+    docs = occ.groupBy("doc_id").agg(F.collect_list("term").alias("terms"))
+    for both, length in ((False, "filtered"), (True, "filtered"), (False, "original")):
+        got = similarity_matrix(occ, "^(t|all)", length, both_orders=both)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[: plan.index("Aggregate [term1")]  # what is above the sums of pairs
+        assert "Join" not in above
+        want = similarity_matrix(docs, "^(t|all)", length, both_orders=both)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+        assert got.where("term1 = 'all'").count() == 0  # in every document
