@@ -2,13 +2,15 @@
 
 One DataFrame plan answers all queries at once (the reference runs one job
 per query term over a pre-built V x V matrix). Only pairs that involve a query
-term are ever formed. Three plans, by the shape of the input:
+term are ever formed. Four plans, by the shape of the input:
 
 * a query list of up to ``WIDE_QUERY_MAX`` terms: one aggregate keyed by term,
   each row carrying the term's df, its sum of tf^2 and one dot product per
   query term (``_wide_similarities``); for document rows the products come
   from the row itself, with no shuffle before the partial aggregation;
-* a longer list over document rows: (query, term) rows and term-statistics
+* the first ``n`` of a list up to ``PAIR_TERMS_MAX`` over document rows: terms that
+  can be among them are told first, by a bound (``_pruned_similarities``; runs jobs);
+* any other list over document rows: (query, term) rows and term-statistics
   rows in one aggregate keyed by both (``_one_pass_sums``);
 * a query DataFrame, or a longer list over occurrence rows: the query
   postings are joined with all postings on ``doc_id``; adaptive execution
@@ -33,6 +35,7 @@ from termsim.operators.frequencies import (
     corpus_size,
     document_vectors,
     explode_terms,
+    fence,
     term_frequencies,
 )
 from termsim.operators.similarity import rounded, within_row_products
@@ -55,6 +58,15 @@ SMALL_QUERY_LIST = 1000
 # (query, term) rows.
 WIDE_QUERY_MAX = 64
 
+# The first n of a list beyond that are picked from terms that can be among them, when
+# these are this many at most (they are broadcast).
+ABLE_TERMS_MAX = 50_000
+BOUND_SLACK = 1e-8
+PIVOT_TERMS = 400
+PIVOT_SHARE = 64
+# Sums of products that one row of an aggregate carries there.
+COLUMNS_AT_ONCE = 48
+
 # Up to this many terms of a pair list meet inside the rows of the documents.
 PAIR_TERMS_MAX = 256
 
@@ -290,6 +302,104 @@ def _wide_similarities(
     )
 
 
+def _column_sums(vec: DataFrame, known: list[str], able: DataFrame | None) -> DataFrame:
+    """``(term, list, df, sumsq, dot0..)`` from document vectors ``(len, terms, hits)``: one
+    row per term (of ``able``) and ``COLUMNS_AT_ONCE`` of the query terms ``known``."""
+    lenf = F.col("len").cast("double")
+    lists = _query_lists(known)
+    frequency = F.map_from_entries(F.transform("hits", lambda h: F.struct(h["term"], h["n"] / lenf)))
+    # the document's tf of every query term, list by list
+    columns = [F.struct(F.lit(i).alias("list"), F.array(*[F.coalesce(F.try_element_at(F.col("of"), F.lit(q)), F.lit(0.0)) for q in qs]).alias("x")) for i, qs in enumerate(lists)]
+    holding = fence(vec.select("len", "terms", frequency.alias("of")), ["of"])
+    holding = fence(holding.select("len", "terms", F.array(*columns).alias("lists")), ["lists"])
+    posts = explode_terms(holding, "terms", "e").select(F.col("e.term").alias("term"), (F.col("e.n") / lenf).alias("tf"), "lists")
+    if able is not None:
+        posts = posts.join(F.broadcast(able), "term")
+    met = explode_terms(posts, "lists", "l").select("term", "tf", "l.list", "l.x")
+    dots = [F.sum(F.col("tf") * F.get("x", F.lit(i))).alias(f"dot{i}") for i in range(max(map(len, lists)))]
+    return met.groupBy("term", "list").agg(F.count(F.lit(1)).alias("df"), F.sum(F.col("tf") * F.col("tf")).alias("sumsq"), *dots)
+
+
+def _query_lists(known: list[str]) -> list[list[str]]:
+    return [known[i : i + COLUMNS_AT_ONCE] for i in range(0, len(known), COLUMNS_AT_ONCE)]
+
+
+def _best_known(corpus: DataFrame, qlist: list[str], pattern: str | None, length: str, search: str | None, n: int) -> dict[str, tuple[float, float]]:
+    """Of every query term of the corpus its sum of tf^2 and a similarity that its ``n``-th
+    best result has for certain: the ``n``-th best among the query terms and the
+    ``PIVOT_TERMS`` most frequent terms of a few documents. Whichever these are, the
+    similarities are exact, as they are summed over the whole corpus."""
+    few = term_frequencies(corpus.where(F.pmod(F.xxhash64("doc_id"), F.lit(PIVOT_SHARE)) == 0), pattern)
+    if search is not None:
+        few = few.where(F.col("term").rlike(search))
+    frequent = few.groupBy("term").count().orderBy(F.col("count").desc(), "term").limit(PIVOT_TERMS)
+    pivots = [r["term"] for r in frequent.collect()]
+    # only the asked tokens of a document are sorted; its length stands where its id is
+    terms = F.array_compact("terms") if corpus.schema["terms"].dataType.containsNull else F.col("terms")
+    kept = F.size(terms if pattern is None or length == "original" else F.filter(terms, lambda t: t.rlike(pattern)))
+    tokens = fence(corpus.select("terms"), ["terms"])
+    asked = tokens.select(kept.alias("doc_id"), F.filter(terms, lambda t: t.isin([*qlist, *pivots])).alias("terms"))
+    vec = document_vectors(asked, pattern).select(F.col("doc_id").alias("len"), "terms", F.filter("terms", lambda e: e["term"].isin(qlist)).alias("hits"))
+    rows, n_docs = _column_sums(vec, qlist, None).collect(), corpus.count()
+    square = {r["term"]: r["sumsq"] for r in rows if r["df"] < n_docs}
+    passing = set(square)
+    if search is not None and square:
+        listed = corpus.sparkSession.createDataFrame([(t,) for t in square], "term string")
+        passing = {r["term"] for r in listed.where(F.col("term").rlike(search)).collect()}
+    found: dict[str, list[float]] = {q: [] for q in qlist if q in square}
+    lists = _query_lists(qlist)
+    for r in rows:
+        if r["term"] in passing:
+            for i, q in enumerate(lists[r["list"]]):
+                if q in found and q != r["term"] and r[f"dot{i}"]:
+                    found[q].append(r[f"dot{i}"] / (square[q] * square[r["term"]]) ** 0.5)
+    return {q: (square[q], sorted(x)[-n] if 0 < n <= len(x) else 0.0) for q, x in found.items()}
+
+
+def _pruned_similarities(corpus: DataFrame, qlist: list[str], pattern: str | None, length: str, search: str | None, n: int, check_ids: bool) -> DataFrame | None:
+    """``(query, term, similarity)`` of all pairs that can be among a query term's first
+    ``n``; None when too many terms can or no query term is known.
+
+    With ``u`` the vectors of norm 1, ``sum_d u_q u_t <= sqrt(sum of u_q^2 over t's
+    documents)``. So a term can only reach a similarity that is certain for ``q``
+    (``_best_known``) when its documents hold that share of ``q``; per document the
+    largest such share of any query term is summed by term, along with its statistics.
+    Products are formed of the terms that are left, in most corpora a few of many."""
+    spark = corpus.sparkSession
+    known = _best_known(corpus, qlist, pattern, length, search, n)
+    if not known:
+        return None
+    lenf = F.col("len").cast("double")
+    factor = F.create_map(*[F.lit(x) for q, (ss, least) in known.items() for x in (q, 1.0 / (ss * max(least - BOUND_SLACK, 1e-6) ** 2))])
+    vec = document_vectors(corpus, pattern, length).select(
+        "len", "terms", F.filter("terms", lambda e: e["term"].isin([*known])).alias("hits")
+    )
+    share = F.array_max(F.transform("hits", lambda h: (h["n"] / lenf) * (h["n"] / lenf) * F.try_element_at(factor, h["term"])))
+    entries = explode_terms(fence(vec.select("len", "terms", share.alias("share")), ["share"]), "terms", "e")
+    tf = F.col("e.n") / lenf
+    stats = entries.select(F.col("e.term").alias("term"), (tf * tf).alias("tf2"), F.coalesce("share", F.lit(0.0)).alias("share")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf2").alias("sumsq"), F.sum("share").alias("share")
+    )
+    # a little under 1: sums are rounded
+    able = stats.where(F.col("share") >= F.lit(1 - 1e-6))
+    if search is not None:
+        able = able.where(F.col("term").rlike(search))
+    rows = able.select("term", "df", "sumsq").limit(ABLE_TERMS_MAX + 1).collect()
+    if len(rows) > ABLE_TERMS_MAX:
+        return None
+    able = F.broadcast(spark.createDataFrame([(r["term"], r["df"], r["sumsq"]) for r in rows], "term string, df long, sumsq double"))
+    lists = _query_lists([*known])
+    width = max(map(len, lists))
+    sums = _column_sums(vec.where(F.size("hits") > 0), [*known], able.select("term"))
+    names = F.get(F.array(*[F.array(*[F.lit(q) for q in qs]) for qs in lists]), F.col("list"))
+    dots = F.arrays_zip(names.alias("query"), F.array(*[f"dot{i}" for i in range(width)]).alias("dot"))
+    pairs = explode_terms(sums.select("term", dots.alias("ds")), "ds", "d").select("term", "d.query", "d.dot")
+    pairs = pairs.where((F.col("dot") > 0) & (F.col("query") != F.col("term")))
+    asked = F.broadcast(spark.createDataFrame([(q, ss) for q, (ss, _) in known.items()], "query string, ss_q double"))
+    found = pairs.join(able, "term").join(asked, "query").where(F.col("df") < corpus_size(corpus, check_ids).scalar())
+    return found.select("query", "term", (F.col("dot") / (F.sqrt("ss_q") * F.sqrt("sumsq"))).alias("similarity")).where(F.col("similarity") > 0)
+
+
 def query_similarities(
     corpus: DataFrame,
     queries: QueryInput,
@@ -447,7 +557,13 @@ def similar_terms(
         raise ValueError("n must be >= 0 or None")
     if not isinstance(queries, DataFrame) and len(queries) == 0:
         return corpus.sparkSession.createDataFrame([], "query string, rank int, term string, similarity double")
-    scored = query_similarities(corpus, queries, pattern, length, search, check_ids)
+    scored = None
+    qlist = _distinct_list(queries)
+    first_of_many = n is not None and n <= WINDOW_TOP_N_MAX and qlist is not None and WIDE_QUERY_MAX < len(qlist) <= PAIR_TERMS_MAX
+    if first_of_many and corpus_shape(corpus) == DOCUMENT_ROWS:
+        scored = _pruned_similarities(corpus, qlist, pattern, length, search, n, check_ids)
+    if scored is None:
+        scored = query_similarities(corpus, queries, pattern, length, search, check_ids)
     return rank_terms(scored, n)
 
 

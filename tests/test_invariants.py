@@ -212,3 +212,30 @@ def test_distributed_rank_with_sort_merge_offsets(spark, monkeypatch):
         assert got and got == _rows(window_ranks(scored), cols)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("pattern,length,search,n", [(None, "filtered", None, 3), ("^[a-m]", "original", "[aeiou]", 2), (None, "filtered", None, 0)])
+def test_long_list_prunes_terms_without_loss(spark, monkeypatch, pattern, length, search, n):
+    """The first n of a long list come from terms a bound has left; the joined plan,
+    which forms every pair, gives the same."""
+    import random
+
+    from termsim import similar_terms
+    from termsim.operators import lookup
+    from termsim.sources.corpus import to_occurrences
+
+    rng = random.Random(4)
+    words = [a + b for a in "abcdefghijklmnop" for b in "aeiou"] + [f"x{k}" for k in range(200)]
+    rows = [(d, [words[int(rng.paretovariate(0.4)) % len(words)] for _ in range(rng.randrange(0, 60))]) for d in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id int, terms array<string>")
+    asked = [*words[:75], "nowhere"]
+    monkeypatch.setattr(lookup, "COLUMNS_AT_ONCE", 30)
+    monkeypatch.setattr(lookup, "PIVOT_SHARE", 4)
+    left = lookup._pruned_similarities(docs, asked, pattern, length, search, max(n, 1), True)
+    assert 0 < left.select("term").distinct().count() < len(words)
+    got = similar_terms(docs, asked, pattern, length, search, n)
+    expected = similar_terms(to_occurrences(docs), asked, pattern, length, search, n)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    monkeypatch.setattr(lookup, "ABLE_TERMS_MAX", 1)  # too many to broadcast: the plan of all pairs
+    assert lookup._pruned_similarities(docs, asked, pattern, length, search, max(n, 1), True) is None
+    assert sorted(map(tuple, similar_terms(docs, asked, pattern, length, search, n).collect())) == sorted(map(tuple, expected.collect()))
