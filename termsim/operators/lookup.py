@@ -61,6 +61,8 @@ WIDE_QUERY_MAX = 64
 # The first n of a list beyond that are picked from terms that can be among them, when
 # these are this many at most (they are broadcast).
 ABLE_TERMS_MAX = 50_000
+# The jobs that tell them do not pay for shorter lists.
+PRUNED_QUERY_MIN = 64
 BOUND_SLACK = 1e-8
 PIVOT_TERMS = 400
 PIVOT_SHARE = 64
@@ -559,7 +561,7 @@ def similar_terms(
         return corpus.sparkSession.createDataFrame([], "query string, rank int, term string, similarity double")
     scored = None
     qlist = _distinct_list(queries)
-    first_of_many = n is not None and n <= WINDOW_TOP_N_MAX and qlist is not None and WIDE_QUERY_MAX < len(qlist) <= PAIR_TERMS_MAX
+    first_of_many = n is not None and n <= WINDOW_TOP_N_MAX and qlist is not None and max(WIDE_QUERY_MAX, PRUNED_QUERY_MIN) < len(qlist) <= PAIR_TERMS_MAX
     if first_of_many and corpus_shape(corpus) == DOCUMENT_ROWS:
         scored = _pruned_similarities(corpus, qlist, pattern, length, search, n, check_ids)
     if scored is None:
